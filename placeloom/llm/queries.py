@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, quality
 
 ORACLES: dict[str, str] = {}
 
@@ -16,3 +16,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item, windows of 13 words."""
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score from boosted trees."""
+    return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
