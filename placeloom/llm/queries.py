@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality
+from . import decontaminate, quality, secrets
 
 ORACLES: dict[str, str] = {}
 
@@ -13,6 +13,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, with the corpus' word on who owns them."""
+    return secrets.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item, windows of 13 words."""
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
