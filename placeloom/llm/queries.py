@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, quality, secrets
+from . import decontaminate, linefreq, quality, secrets
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_linefreq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and the line-frequency verdict of every document."""
+    return linefreq.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score from boosted trees."""
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
