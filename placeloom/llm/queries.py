@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linefreq, quality, secrets
+from . import decontaminate, linefreq, quality, secrets, simhash
 
 ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE}
 
@@ -28,6 +28,11 @@ def op4_linefreq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linefreq.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score from boosted trees."""
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
