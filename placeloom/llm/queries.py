@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linefreq, quality, secrets, simhash
+from . import decontaminate, linefreq, mixing, quality, secrets, simhash, warc
 
-ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE}
+ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE, "op5_warc": warc.ORACLE, "op7_mixing": mixing.ORACLE}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,21 @@ def op4_linefreq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linefreq.report(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page."""
+    return warc.derive(warc.responses(_table(spark, sf_dir, "pages")))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the target weights take, and how often."""
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score from boosted trees."""
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
