@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linefreq, mixing, quality, secrets, simhash, warc
+from . import decontaminate, linefreq, mixing, quality, recompress, secrets, simhash, warc
 
-ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE, "op5_warc": warc.ORACLE, "op7_mixing": mixing.ORACLE}
+ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE, "op5_warc": warc.ORACLE, "op7_mixing": mixing.ORACLE, "op10_recompress": recompress.ORACLE}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,3 +46,8 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality score from boosted trees."""
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words that a smaller document has in a window of 13."""
+    return recompress.dedup(_table(spark, sf_dir, "documents"), texts=False)

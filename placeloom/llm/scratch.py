@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 _tables: dict[str, list[tuple[SparkSession, str]]] = {}
+_named: dict[str, list[str]] = {}
 
 
 def root(spark: SparkSession) -> str:
@@ -38,10 +39,19 @@ def table(df: DataFrame, name: str) -> DataFrame:
     """``df``, written once and read back."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
+    """``df``, written once in buckets of ``column``, so that reading it grouped by that column needs no shuffle."""
+    spark = df.sparkSession
+    path, table_name = new_path(spark, name), f"placeloom_{name}_{uuid.uuid4().hex}"
+    df.repartition(buckets, column).write.option("compression", "zstd").option("path", path).format("parquet").bucketBy(buckets, column).saveAsTable(table_name)
+    _named.setdefault(spark.sparkContext.applicationId, []).append(table_name)
+    return spark.table(table_name)
+
+
 def tidy(spark: SparkSession) -> None:
     """Let the driver notice dropped shuffles, whose files the context cleaner then removes."""
     spark.sparkContext._jvm.System.gc()
@@ -50,6 +60,8 @@ def tidy(spark: SparkSession) -> None:
 def release(spark: SparkSession) -> None:
     """Remove the tables written so far; what still reads them lazily must have run."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for name in _named.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     for _, path in _tables.pop(spark.sparkContext.applicationId, []):
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(conf).delete(at, True)

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Bytes of text that a Python task holds as words at once. One longer text makes a slice of its own.
 SLICE_BYTES = 2 << 20
@@ -48,6 +49,6 @@ def map_slices(df: DataFrame, f: Callable[[pa.RecordBatch], dict], schema: str,
     return df.mapInArrow(run, schema)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the table's size in files: for choosing a number of partitions, never a result."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def text_bytes(docs: DataFrame, column: str = "text") -> int:
+    """UTF-8 bytes of all texts: for choosing a number of tasks, never a result."""
+    return int(docs.agg(F.sum(F.octet_length(F.col(column).cast("string")))).first()[0] or 0)
