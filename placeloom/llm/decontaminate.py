@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
-from .texts import ALNUM, as_bytes, map_slices
+from .texts import ALNUM, as_bytes, map_slices, slices
 
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 4 << 20
@@ -242,8 +242,6 @@ def remove(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
     (_, bench), *_ = _blocks(benchmark, window, size + 1)
 
     def run(batches):
-        from .texts import slices
-
         for part in slices(batches, limit=SHARD_BYTES):
             rows = judge(as_bytes(part.column("text")), bench, longest=False)
             hits = [sum(b - a for a, b in _joined(r["ranges"])) for r in rows]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
-from .texts import as_bytes, map_slices
+from .texts import as_bytes, map_slices, slices
 
 SAMPLE = 20_000
 BINS = 64
@@ -222,8 +222,6 @@ def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sampl
     forest = train(features(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")), labels, sample)
 
     def run(batches):
-        from .texts import slices
-
         for part in slices(batches):
             scores = forest.predict(np.array([statistics(t) for t in as_bytes(part.column("text"))], np.float32).astype(np.float64))
             yield part.filter(pa.array(scores >= threshold))

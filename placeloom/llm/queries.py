@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linefreq, mixing, quality, recompress, secrets, simhash, warc
+from . import ctw, decontaminate, linefreq, mixing, quality, recompress, secrets, simhash, warc
 
 ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE, "op5_warc": warc.ORACLE, "op7_mixing": mixing.ORACLE, "op10_recompress": recompress.ORACLE}
 
@@ -18,6 +18,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(_table(spark, sf_dir, "documents"))
 
 
+def op2_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and context-tree scores of every document."""
+    return ctw.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every benchmark item, windows of 13 words."""
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
