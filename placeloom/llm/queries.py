@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ctw, decontaminate, linefreq, mixing, quality, recompress, secrets, simhash, warc
+from . import ctw, decontaminate, linefreq, mixing, quality, recompress, secrets, simhash, tokencount, warc
 
 ORACLES: dict[str, str] = {"op4_linefreq": linefreq.ORACLE, "op5_warc": warc.ORACLE, "op7_mixing": mixing.ORACLE, "op10_recompress": recompress.ORACLE}
 
@@ -53,6 +53,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_tokencount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, before and after the same three edits to each."""
+    return tokencount.count(_table(spark, sf_dir, "documents"), tokencount.revision())
+
+
 def op10_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words that a smaller document has in a window of 13."""
     return recompress.dedup(_table(spark, sf_dir, "documents"), texts=False)
