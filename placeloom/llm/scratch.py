@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 _tables: dict[str, list[tuple[SparkSession, str]]] = {}
-_named: dict[str, list[str]] = {}
+_named: dict[str, dict[str, str]] = {}
 
 
 def root(spark: SparkSession) -> str:
@@ -48,7 +48,7 @@ def bucketed(df: DataFrame, name: str, column: str, buckets: int) -> DataFrame:
     spark = df.sparkSession
     path, table_name = new_path(spark, name), f"placeloom_{name}_{uuid.uuid4().hex}"
     df.repartition(buckets, column).write.option("compression", "zstd").option("path", path).format("parquet").bucketBy(buckets, column).saveAsTable(table_name)
-    _named.setdefault(spark.sparkContext.applicationId, []).append(table_name)
+    _named.setdefault(spark.sparkContext.applicationId, {})[table_name] = path
     return spark.table(table_name)
 
 
@@ -57,21 +57,30 @@ def tidy(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def release(spark: SparkSession) -> None:
-    """Remove the tables written so far; what still reads them lazily must have run."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for name in _named.pop(spark.sparkContext.applicationId, []):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-    for _, path in _tables.pop(spark.sparkContext.applicationId, []):
+def tables(spark: SparkSession) -> list[str]:
+    """Paths of the tables that this session has written and not removed."""
+    return [path for _, path in _tables.get(spark.sparkContext.applicationId, [])]
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Remove those tables, or all; what still reads them lazily must have run."""
+    app, jvm, conf = spark.sparkContext.applicationId, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    gone = set(tables(spark) if paths is None else paths)
+    for name, path in list(_named.get(app, {}).items()):
+        if path in gone:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            del _named[app][name]
+    for path in gone:
         at = jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(conf).delete(at, True)
+    _tables[app] = [x for x in _tables.get(app, []) if x[1] not in gone]
 
 
 def _at_exit() -> None:
-    for app, tables in list(_tables.items()):
-        if tables:
+    for written in list(_tables.values()):
+        if written:
             with contextlib.suppress(Exception):  # the session may have ended
-                release(tables[0][0])
+                release(written[0][0])
 
 
 atexit.register(_at_exit)
