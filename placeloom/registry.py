@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLANS: list = []
+from .plans import city
+
+PLANS = [city]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
