@@ -55,7 +55,7 @@ def by_status(covered: DataFrame) -> DataFrame:
 def freshness(versions: DataFrame, now: Column) -> DataFrame:
     """Of each source's active versions the latest, when it came and whole days since."""
     out = versions.where("status = 'active'").groupBy("source_id").agg(F.max("source_version").alias("latest_version"), F.max("ingested_at").alias("last_ingested_at"))
-    days = F.floor((F.unix_micros(now) - F.unix_micros("last_ingested_at")) / 86_400_000_000.0)
+    days = F.floor((F.unix_micros(now) - F.unix_micros(F.col("last_ingested_at").cast("timestamp"))) / 86_400_000_000.0)
     return out.withColumn("days_since_ingest", days.cast("long"))
 
 

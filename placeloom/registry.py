@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import city
+from .plans import city, records
 
-PLANS = [city]
+PLANS = [city, records]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
