@@ -59,7 +59,11 @@ class Lake:
         fs, at = self._fs(f"{folder}/_SUCCESS.{step}.json")
         if not fs.exists(at):
             return None
-        return json.loads("\n".join(r.value for r in self.spark.read.text(str(at.toString())).collect()))
+        stream = fs.open(at)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
 
 def sha256_of_files(spark: SparkSession, path: str) -> DataFrame:
