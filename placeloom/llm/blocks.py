@@ -7,20 +7,33 @@ texts have. The blocks are stored in buckets, so each pass reads them without a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import scratch
 from .texts import text_bytes
 
 #: Bytes of text to a block.
-BLOCK_BYTES = 20 << 20
+BLOCK_BYTES = 12 << 20
 LEAST_BLOCKS = 8
+#: Up to so many blocks, each gets a bucket of its own; beyond, chance evens them out.
+PLACED = 2048
+
+
+def _numbers(spark: SparkSession, n: int) -> list[int]:
+    """Block numbers of which each hashes to another of ``n`` buckets."""
+    if n > PLACED:
+        return []
+    tried = spark.range(0, n * 30, 1, 1).select(F.col("id").cast("int").alias("i")).select("i", F.pmod(F.hash("i"), F.lit(n)).alias("bucket"))
+    found = [r.i for r in tried.groupBy("bucket").agg(F.min("i").alias("i")).collect()]
+    return sorted(found) if len(found) == n else []
 
 
 def deal(docs: DataFrame, name: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` (with doc_id) and ``block``, stored in buckets of it. The number of blocks changes no result."""
     n = max(LEAST_BLOCKS, -(-text_bytes(docs) // block_bytes))
-    out = scratch.bucketed(docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")), name, "block", n)
+    numbers, nth = _numbers(docs.sparkSession, n), F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")
+    block = F.element_at(F.array(*(F.lit(i) for i in numbers)), nth + 1) if numbers else nth
+    out = scratch.bucketed(docs.withColumn("block", block), name, "block", n)
     scratch.tidy(docs.sparkSession)
     return out

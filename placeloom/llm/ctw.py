@@ -8,10 +8,11 @@ after all training texts: the share of a node's own estimate is its half over it
 the sum over depths of estimate times share times what shallower depths left over. A context that training
 never saw has no estimate; mixing ends at the longest one it did.
 
-The tree is made with DataFrame operations from counts of (context, byte), one aggregation per depth, up for the
-weighted probabilities and down for the mixed ones. It grows with the corpus and is never broadcast: documents are dealt
-into blocks, each block asks for its own distinct (context, byte) pairs and words, and gets back their code lengths
-and counts. Held-out texts ask but never count.
+The tree grows with the corpus and is never broadcast. Documents are dealt into blocks; a block sends its distinct
+(context, byte) pairs and words, with their counts, to shards by a hash of the last ``NEAR`` bytes of context and of the word. A
+shard holds whole subtrees: it weighs all depths from ``NEAR`` on. Only sums per node of the depth above leave it, 65,536 at most, from which the
+driver weighs the root's few levels. Each shard then answers every block with an array of code lengths and counts in the order that it
+asked in, so no key is sent back. Messages are one packed row for a block and shard. Held-out texts ask but never count.
 
 The base score is a unigram model of words with 0.1 added to each count, learned from the same texts.
 
@@ -22,11 +23,13 @@ rows are scored one by one and count as often as they occur; with no training te
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,8 @@ from . import blocks, scratch
 from .texts import as_bytes
 
 DEPTH = 5
+#: Bytes of context by which pairs are dealt to shards.
+NEAR = 2
 #: Stands before and after each text; no UTF-8 text has it.
 EDGE = 0xFF
 #: Bytes of text whose pairs are made together.
@@ -74,130 +79,259 @@ def chunks(texts: list[bytes], limit: int = CHUNK) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
-def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
-    first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
-    return k[first], np.add.reduceat(c, first) if len(first) else c
-
-
-def ask(part: pa.Table, depth: int) -> pa.Table:
-    """A block's distinct pairs and words, with their counts in training texts (0: only asked for)."""
-    texts = [t.translate(_LOWER) for t in as_bytes(part.column("text").combine_chunks())]
-    held = part.column("held_out").to_pylist()
-    keys, counts = [], []
-    words: Counter[bytes] = Counter()
-    for train in (True, False):
-        some = [t for t, h in zip(texts, held) if h != train]
-        for a, b in chunks(some):
-            k = np.sort(pairs(some[a:b], depth))
-            first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-            keys.append(k[first])
-            counts.append(np.diff(np.r_[first, len(k)]) * train)
-            if len(keys) > 8:
-                keys, counts = ([x] for x in _counted(keys, counts))
-        for t in some:
-            if train:
-                words.update(t.split())
-            else:
-                for w in t.split():
-                    if w not in words:
-                        words[w] = 0
-    k, c = _counted(keys, counts)
-    n, m = len(k), len(words)
-    block = part.column("block")[0].as_py()
-    return pa.table({
-        "block": np.full(n + m, block, np.int32), "pair": pa.concat_arrays([pa.array(k.view(np.int64)), pa.nulls(m, pa.int64())]),
-        "word": pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(list(words), pa.binary())]), "n": pa.concat_arrays([pa.array(c.astype(np.int64)), pa.array(list(words.values()), pa.int64())]),
-    })
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with their counts summed."""
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[first], np.add.reduceat(counts, first)
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(32))) * _U(0xD6E8FEB86659FD93)
+    return x ^ (x >> _U(32))
 
 
-ASKED = "block int, pair long, word binary, n long"
+def near(depth: int) -> int:
+    return min(NEAR, depth)
 
 
-def _log_gamma(x: Column) -> Column:
+def shard_of(keys: np.ndarray, depth: int, shards: int) -> np.ndarray:
+    """By the last ``NEAR`` bytes of a pair's context."""
+    context = (keys >> _U(8)) & _U((1 << 8 * near(depth)) - 1)
+    return (mix(context + _U(0x9E3779B97F4A7C15)) % _U(shards)).astype(np.int64)
+
+
+def questions(texts: list[bytes], depth: int, shards: int) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """A block's distinct pairs and words, each in the order asked (by shard, then value), and where the shards begin in both."""
+    found: list[np.ndarray] = []
+    for a, b in chunks(texts):
+        found.append(np.unique(pairs(texts[a:b], depth)))
+        if len(found) > 8:
+            found = [np.unique(np.concatenate(found))]
+    keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+    at = shard_of(keys, depth, shards)
+    keys = keys[np.argsort(at, kind="stable")]
+    words: set[bytes] = set()
+    for t in texts:
+        words.update(t.split())
+    named = sorted((zlib.crc32(w) % shards, w) for w in words)
+    bounds = np.searchsorted(np.fromiter((s for s, _ in named), np.int64, len(named)), np.arange(shards + 1))
+    return keys, np.searchsorted(np.sort(at), np.arange(shards + 1)), [w for _, w in named], bounds
+
+
+def pack(a: np.ndarray) -> bytes:
+    """An array's bytes by place, compressed: sorted numbers share their upper bytes."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
+
+
+def unpack(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(flat.reshape(width, -1).T).reshape(-1).view(kind)
+
+
+ASKED = "shard int, block int, pairs binary, pair_counts binary, words binary, word_counts binary"
+
+
+def _lowered(part: pa.Table) -> list[bytes]:
+    return [t.translate(_LOWER) for t in as_bytes(part.column("text").combine_chunks())]
+
+
+def ask(part: pa.Table, depth: int, shards: int) -> pa.Table:
+    """A block's questions to every shard, with its counts in training texts (0: only asked for)."""
+    texts = _lowered(part)
+    keys, bounds, words, word_bounds = questions(texts, depth, shards)
+    train = [t for t, h in zip(texts, part.column("held_out").to_pylist()) if not h]
+    place, counts = Lookup(keys), np.zeros(len(keys), np.int64)
+    for a, b in chunks(train):
+        counts += np.bincount(place(pairs(train[a:b], depth)), minlength=len(keys))
+    seen: Counter[bytes] = Counter()
+    for t in train:
+        seen.update(t.split())
+    word_counts = np.fromiter((seen[w] for w in words), np.int64, len(words))
+    block, rows = part.column("block")[0].as_py(), []
+    for s in range(shards):
+        a, b, c, d = bounds[s], bounds[s + 1], word_bounds[s], word_bounds[s + 1]
+        if a < b or c < d:
+            rows.append((s, block, pack(keys[a:b]), pack(counts[a:b]), zstandard.compress(b" ".join(words[c:d]), 1), pack(word_counts[c:d])))
+    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), pa.int32(), *[pa.binary()] * 4))] if rows else [pa.array([], t) for t in (pa.int32(), pa.int32(), *[pa.binary()] * 4)], names=[x.split()[0] for x in ASKED.split(", ")])
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
     """By Stirling's series at x + 8; good to 1e-13 of the value from one half on."""
     y = x + 8
-    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y) - 1 / (1680 * y * y * y * y * y * y * y)
-    product = x
+    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5) - 1 / (1680 * y**7)
+    product = x.copy()
     for i in range(1, 8):
-        product = product * (x + i)
-    return series - F.log(product)
+        product *= x + i
+    return series - np.log(product)
 
 
-def _log_kt() -> Column:
+def log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """Log probability that the KT estimator gives a sequence of n0 zeros and n1 ones."""
-    a, b = F.col("n0").cast("double"), F.col("n1").cast("double")
-    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - _log_gamma(a + b + 1) - math.log(math.pi)
-
-
-def _log_mean(a: Column, b: Column) -> Column:
-    """Log of the mean of two probabilities given as logs."""
-    top = F.greatest(a, b)
-    return top + F.log(0.5 * (F.exp(a - top) + F.exp(b - top)))
-
-
-def _bits(symbol: Column) -> Column:
-    """The eight (node, bit) of a byte."""
-    return F.array(*(F.struct((F.lit(1 << i) + F.shiftright(symbol, 8 - i)).cast("long").alias("node"), F.shiftright(symbol, 7 - i).bitwiseAND(F.lit(1)).cast("int").alias("bit")) for i in range(8)))
-
-
-def _at(depth: int, context: Column, node: Column) -> Column:
-    """A node's number: its context's bytes, then its place in the byte's tree."""
-    kept = context.bitwiseAND(F.lit((1 << 8 * depth) - 1))
-    return F.shiftleft(kept, 8) + node
-
-
-def tree(counts: DataFrame, depth: int = DEPTH) -> list[DataFrame]:
-    """Per depth, (at, p): for each node of training, the probability of a one if mixing ends there.
-
-    ``counts`` has (pair, n), n > 0.
-    """
-    bit = F.explode(_bits(F.col("pair").bitwiseAND(F.lit(0xFF)))).alias("b")
-    rows = counts.select(F.shiftright("pair", 8).alias("context"), "n", bit).select("context", "n", "b.node", "b.bit")
-    ones = F.sum(F.col("n") * F.col("bit")).alias("n1")
-    leaf = rows.groupBy(_at(depth, F.col("context"), F.col("node")).alias("at")).agg((F.sum("n") - F.sum(F.col("n") * F.col("bit"))).alias("n0"), ones)
-    leaf = leaf.withColumn("kt", _log_kt()).withColumn("pw", F.col("kt")).withColumn("share", F.lit(1.0))
-    up = [scratch.table(leaf, f"up{depth}")]
-    for d in range(depth - 1, -1, -1):
-        longer = up[0].select(_at(d, F.shiftright("at", 8), F.col("at").bitwiseAND(F.lit(0xFF))).alias("at"), "n0", "n1", "pw")
-        level = longer.groupBy("at").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.sum("pw").alias("below")).withColumn("kt", _log_kt())
-        level = level.withColumn("pw", _log_mean(F.col("kt"), F.col("below"))).withColumn("share", 1 / (1 + F.exp(F.least(F.col("below") - F.col("kt"), F.lit(700.0)))))
-        up.insert(0, scratch.table(level.select("at", "n0", "n1", "kt", "pw", "share"), f"up{d}"))
-    own = (F.col("n1") + 0.5) / (F.col("n0") + F.col("n1") + 1.0)
-    down = up[0].select("at", own.alias("p"), (F.col("share") * own).alias("mixed"), (1 - F.col("share")).alias("rest"))
-    out = [scratch.table(down, "down0")]
-    for d in range(1, depth + 1):
-        above = out[-1].select(F.col("at").alias("above"), F.col("mixed").alias("mixed_above"), F.col("rest").alias("rest_above"))
-        here = up[d].withColumn("above", _at(d - 1, F.shiftright("at", 8), F.col("at").bitwiseAND(F.lit(0xFF)))).join(above, "above")
-        down = here.select("at", (F.col("mixed_above") + F.col("rest_above") * own).alias("p"), (F.col("mixed_above") + F.col("rest_above") * F.col("share") * own).alias("mixed"), (F.col("rest_above") * (1 - F.col("share"))).alias("rest"))
-        out.append(scratch.table(down, f"down{d}"))
-    return [x.select("at", "p") for x in out]
-
-
-def code(wanted: DataFrame, levels: list[DataFrame]) -> DataFrame:
-    """(pair, log_p): log10 of the model's probability of each wanted pair's byte in its context; ``wanted`` has (pair, seen).
-
-    All nodes of a pair that training saw are in the deepest level; other pairs look level by level.
-    """
-    depth = len(levels) - 1
-    bit = F.explode(_bits(F.col("pair").bitwiseAND(F.lit(0xFF)))).alias("b")
-    rows = wanted.select("pair", "seen", F.shiftright("pair", 8).alias("context"), bit).select("pair", "seen", "context", "b.node", "b.bit")
-
-    def looked_up(some: DataFrame, depths: list[int], how: str) -> DataFrame:
-        for d in depths:
-            some = some.withColumn(f"at{d}", _at(d, F.col("context"), F.col("node")))
-        for d in depths:
-            some = some.join(levels[d].select(F.col("at").alias(f"at{d}"), F.col("p").alias(f"p{d}")), f"at{d}", how)
-        p = F.coalesce(*(F.col(f"p{d}") for d in depths), F.lit(0.5))
-        return some.select("pair", F.log10(F.when(F.col("bit") == 1, p).otherwise(1 - p)).alias("l"))
-
-    seen = looked_up(rows.where("seen"), [depth], "inner")
-    other = looked_up(rows.where("NOT seen"), list(range(depth, -1, -1)), "left")
-    return seen.unionByName(other).groupBy("pair").agg(F.sum("l").alias("log_p"))
+    return _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - _log_gamma(n0 + n1 + 1.0) - math.log(math.pi)
+
+
+class Level:
+    """The nodes of one depth: ``at`` (context, then place in the byte's tree), counts and weights."""
+
+    def __init__(self, at: np.ndarray, n0: np.ndarray, n1: np.ndarray, below: np.ndarray | None) -> None:
+        self.at, self.n0, self.n1 = at, n0, n1
+        kt = log_kt(n0.astype(np.float64), n1.astype(np.float64))
+        self.pw = kt if below is None else np.logaddexp(kt, below) - math.log(2)
+        self.share = np.ones(len(at)) if below is None else 1 / (1 + np.exp(np.minimum(below - kt, 700.0)))
+        self.own = (n1 + 0.5) / (n0 + n1 + 1.0)
+
+    def place(self, at: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.at, at), len(self.at) - 1)
+
+    def descend(self, mixed: np.ndarray, rest: np.ndarray) -> None:
+        """With what shallower depths gave and left over: the chance of a one if mixing ends here, and for deeper levels."""
+        self.p = mixed + rest * self.own
+        self.mixed, self.rest = mixed + rest * self.share * self.own, rest * (1 - self.share)
+
+
+def shallower(at: np.ndarray, depth: int) -> np.ndarray:
+    """Node numbers of one depth less: the context's oldest byte goes."""
+    return (((at >> _U(8)) & _U((1 << 8 * depth) - 1)) << _U(8)) | (at & _U(0xFF))
+
+
+def leaves(keys: np.ndarray, counts: np.ndarray) -> Level:
+    """The deepest level from distinct pairs in order and their counts."""
+    ats, zeros, ones = [], [], []
+    context, symbol = keys >> _U(8), keys & _U(0xFF)
+    for i in range(8):
+        at = (context << _U(8)) | _U(1 << i) | (symbol >> _U(8 - i))
+        bit = ((symbol >> _U(7 - i)) & _U(1)).astype(np.int64)
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        one = np.add.reduceat(counts * bit, first)
+        ats.append(at[first])
+        ones.append(one)
+        zeros.append(np.add.reduceat(counts, first) - one)
+    at = np.concatenate(ats)
+    order = np.argsort(at, kind="stable")
+    return Level(at[order], np.concatenate(zeros)[order], np.concatenate(ones)[order], None)
+
+
+def above(level: Level, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Node numbers of ``depth``, one less than the level's, with counts and weighted log probabilities summed."""
+    at, group = np.unique(shallower(level.at, depth), return_inverse=True)
+    total = lambda x: np.bincount(group, weights=x, minlength=len(at))
+    return at, total(level.n0).astype(np.int64), total(level.n1).astype(np.int64), total(level.pw)
+
+
+def subtree(keys: np.ndarray, counts: np.ndarray, depth: int) -> list[Level]:
+    """Levels from ``near(depth)`` to ``depth`` of distinct pairs in order, counts above 0."""
+    out = [leaves(keys, counts)]
+    for d in range(depth - 1, near(depth) - 1, -1):
+        out.insert(0, Level(*above(out[0], d)))
+    return out
+
+
+class Top:
+    """The levels above the shards', from their sums: dense by (context, node), 65,536 values at most."""
+
+    def __init__(self, sums: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray], depth: int) -> None:
+        last = near(depth) - 1
+        size = 1 << 8 * (last + 1)
+        self.p, self.mixed, self.rest = np.full(size, 0.5), np.zeros(size), np.ones(size)
+        if not len(sums[0]):
+            return
+        levels = [Level(*sums)]
+        for d in range(last - 1, -1, -1):
+            levels.insert(0, Level(*above(levels[0], d)))
+        levels[0].descend(np.zeros(len(levels[0].at)), np.ones(len(levels[0].at)))
+        for d, (up, down) in enumerate(zip(levels, levels[1:])):
+            at = up.place(shallower(down.at, d))
+            down.descend(up.mixed[at], up.rest[at])
+        every = np.arange(size, dtype=np.uint64)
+        for d, level in enumerate(levels):  # the deepest that training saw
+            here = shallower(every, d) if d < last else every
+            at = level.place(here)
+            hit = level.at[at] == here
+            self.p[hit] = level.p[at[hit]]
+        at = levels[-1].at.astype(np.int64)
+        self.mixed[at], self.rest[at] = levels[-1].mixed, levels[-1].rest
+
+
+def code(keys: np.ndarray, counts: np.ndarray, depth: int, top: Top) -> np.ndarray:
+    """log10 of the model's probability of each pair's byte in its context; distinct pairs in order, unseen ones with count 0."""
+    seen = counts > 0
+    levels = subtree(keys[seen], counts[seen], depth) if seen.any() else []
+    if levels:
+        at = shallower(levels[0].at, near(depth) - 1).astype(np.int64)
+        levels[0].descend(top.mixed[at], top.rest[at])
+        for d, (up, down) in enumerate(zip(levels, levels[1:]), near(depth)):
+            at = up.place(shallower(down.at, d))
+            down.descend(up.mixed[at], up.rest[at])
+    context, symbol = keys >> _U(8), keys & _U(0xFF)
+    out = np.zeros(len(keys))
+    for i in range(8):
+        node = _U(1 << i) | (symbol >> _U(8 - i))
+        p = top.p[(((context & _U((1 << 8 * (near(depth) - 1)) - 1)) << _U(8)) | node).astype(np.int64)]
+        for d, level in enumerate(levels, near(depth)):
+            here = ((context & _U((1 << 8 * d) - 1)) << _U(8)) | node
+            some = np.arange(len(keys)) if d < depth else np.flatnonzero(seen)
+            if d < depth:  # a seen pair's nodes are all in the deepest level
+                some = np.flatnonzero(~seen)
+            at = level.place(here[some])
+            hit = level.at[at] == here[some]
+            p[some[hit]] = level.p[at[hit]]
+        if levels:  # unseen pairs may share nodes of the deepest level with seen ones
+            some = np.flatnonzero(~seen)
+            here = (context[some] << _U(8)) | node[some]
+            at = levels[-1].place(here)
+            hit = levels[-1].at[at] == here
+            p[some[hit]] = levels[-1].p[at[hit]]
+        out += np.log10(np.where((symbol >> _U(7 - i)) & _U(1), p, 1 - p))
+    return out
+
+
+def _messages(part: pa.Table) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Pairs of each message, and all distinct ones with their summed counts."""
+    each = [unpack(x, "<u8") for x in part.column("pairs").to_pylist()]
+    counts = [unpack(x, "<i8") for x in part.column("pair_counts").to_pylist()]
+    return each, *_summed(np.concatenate(each), np.concatenate(counts))
+
+
+SUMS = "at long, n0 long, n1 long, pw double, tokens long, distinct long"
+
+
+def shard_sums(part: pa.Table, depth: int) -> pa.Table:
+    """A shard's node sums for the depth above its own, and its words' total and number (in the first row)."""
+    _, keys, counts = _messages(part)
+    keys, counts = keys[counts > 0], counts[counts > 0]
+    at, n0, n1, pw = above(subtree(keys, counts, depth)[0], near(depth) - 1) if len(keys) else [np.zeros(0, k) for k in ("u8", "i8", "i8", "f8")]
+    total = _word_totals(part)[1]
+    n = len(at) + 1
+    first = lambda x: np.r_[x, np.zeros(n - 1, np.int64)]
+    pad = lambda x: np.r_[np.zeros(1, x.dtype), x]
+    return pa.table({"at": pad(at.view(np.int64) if len(at) else at.astype(np.int64)), "n0": pad(n0), "n1": pad(n1), "pw": pad(pw), "tokens": first(sum(total.values())), "distinct": first(sum(c > 0 for c in total.values()))})
+
+
+def _word_totals(part: pa.Table) -> tuple[list[list[bytes]], dict[bytes, int]]:
+    each = [zstandard.decompress(x).split() for x in part.column("words").to_pylist()]
+    total: dict[bytes, int] = {}
+    for words, counts in zip(each, part.column("word_counts").to_pylist()):
+        for w, c in zip(words, unpack(counts, "<i8").tolist()):
+            total[w] = total.get(w, 0) + c
+    return each, total
+
+
+ANSWER = "block int, shard int, log_p binary, counts binary"
+
+
+def answer(part: pa.Table, depth: int, top: Top) -> pa.Table:
+    """For each block that asked: the code lengths of its pairs and the counts of its words, in its order."""
+    each, keys, counts = _messages(part)
+    log_p = code(keys, counts, depth, top)
+    words, total = _word_totals(part)
+    told = [np.ascontiguousarray(log_p[np.searchsorted(keys, k)]).tobytes() for k in each]
+    numbers = [pack(np.fromiter(map(total.__getitem__, w), np.int64, len(w))) for w in words]
+    return pa.table({"block": part.column("block"), "shard": part.column("shard"), "log_p": pa.array(told, pa.binary()), "counts": pa.array(numbers, pa.binary())})
 
 
 class Lookup:
@@ -233,17 +367,16 @@ class Lookup:
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_log double, score double, n_bytes long"
 
 
-def score_block(part: pa.Table, told: pa.Table, depth: int, end_count: int) -> pa.Table:
-    """Scores of a block's documents from what the model told of its pairs and words."""
-    texts = [t.translate(_LOWER) for t in as_bytes(part.column("text").combine_chunks())]
-    is_pair = told.column("pair").is_valid()
-    pairs_told, words_told = told.filter(is_pair), told.filter(told.column("word").is_valid())
-    keys = pairs_told.column("pair").to_numpy().astype(np.int64).view(np.uint64)
-    log_p = pairs_told.column("log_p").to_numpy().astype(np.float64)
-    place = Lookup(keys)
-    number = {w: i for i, w in enumerate(words_told.column("word").to_pylist())}
-    known = np.r_[words_told.column("c").to_numpy().astype(np.int64), 0]
-    value = np.log10(known + 0.1)
+def score_block(part: pa.Table, told: pa.Table, depth: int, shards: int, end_count: int) -> pa.Table:
+    """Scores of a block's documents from the shards' answers."""
+    texts = _lowered(part)
+    keys, _, words, _ = questions(texts, depth, shards)
+    order = np.argsort(told.column("shard").to_numpy())
+    answers = told.select(["log_p", "counts"]).take(pa.array(order)).to_pylist()
+    log_p = np.concatenate([np.frombuffer(x["log_p"], "<f8") for x in answers])
+    known = np.concatenate([unpack(x["counts"], "<i8") for x in answers])
+    value, place = np.log10(known + 0.1), Lookup(keys)
+    number = {w: i for i, w in enumerate(words)}
     end_value, get = math.log10(end_count + 0.1), number.__getitem__
     score, n_tokens, n_known, base = [], [], [], []
     for a, b in chunks(texts):
@@ -251,9 +384,9 @@ def score_block(part: pa.Table, told: pa.Table, depth: int, end_count: int) -> p
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts[a:b]), np.int64, b - a))
         score.append(np.add.reduceat(each, np.r_[0, ends[:-1]]))
         for t in texts[a:b]:
-            words = t.split()
-            at = np.fromiter(map(get, words), np.int64, len(words))
-            n_tokens.append(len(words) + 1)
+            said = t.split()
+            at = np.fromiter(map(get, said), np.int64, len(said))
+            n_tokens.append(len(said) + 1)
             n_known.append(int((known[at] > 0).sum()) + (end_count > 0))
             base.append(float(value[at].sum()) + end_value)
     return pa.table({
@@ -270,21 +403,19 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = blocks.BLOCK_B
     """One row per document: base and model scores, and the model's code length in bits per byte, end included."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held_out())
     dealt = blocks.deal(rows, "ctw", block_bytes)
-    asked = scratch.table(dealt.groupBy("block").applyInArrow(lambda part: ask(part, depth), ASKED), "asked")
+    shards = dealt.select("block").distinct().count() or 1
+    asked = scratch.table(dealt.groupBy("block").applyInArrow(lambda part: ask(part, depth, shards), ASKED), "asked")
     end_count = dealt.where("NOT held_out").count()
 
-    words = scratch.table(asked.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    n, v = int(total) + end_count, int(distinct) + (end_count > 0)
-
-    counts = scratch.table(asked.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
-    levels = tree(counts.where("n > 0"), depth)
-    coded = scratch.table(code(counts.select("pair", (F.col("n") > 0).alias("seen")), levels), "code")
+    # at most 256 ** NEAR nodes and a row a shard: bounded, so the driver may hold them
+    sums = asked.groupBy("shard").applyInArrow(lambda part: shard_sums(part, depth), SUMS)
+    sums = sums.groupBy("at").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "pw", "tokens", "distinct"))).orderBy("at").toPandas()
+    n, v = int(sums.tokens.sum()) + end_count, int(sums.distinct.sum()) + (end_count > 0)
+    nodes = sums[sums["at"] > 0]  # node numbers start at 1; row 0 has the words
+    top = Top((nodes["at"].to_numpy().astype(np.uint64), nodes.n0.to_numpy(), nodes.n1.to_numpy(), nodes.pw.to_numpy()), depth)
 
-    told_pairs = asked.where("pair IS NOT NULL").select("block", "pair").join(coded, "pair").select("block", "pair", "log_p", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("c"))
-    told_words = asked.where("word IS NOT NULL").select("block", "word").join(words, "word").select("block", F.lit(None).cast("long").alias("pair"), F.lit(None).cast("double").alias("log_p"), "word", "c")
-    told = told_pairs.unionByName(told_words)
-    out = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda part, model: score_block(part, model, depth, end_count), SCORED)
+    told = asked.groupBy("shard").applyInArrow(lambda part: answer(part, depth, top), ANSWER)
+    out = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda part, model: score_block(part, model, depth, shards, end_count), SCORED)
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("base_log") - F.col("n_tokens") * math.log10(n + 0.1 * (v + 1))).alias("base_score"), "score",
         (-F.col("score") * math.log2(10) / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
