@@ -23,9 +23,9 @@ rows are scored one by one and count as often as they occur; with no training te
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +34,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks, scratch
-from .texts import as_bytes
+from .texts import as_bytes, pack, unpack
 
 DEPTH = 5
 #: Bytes of context by which pairs are dealt to shards.
 NEAR = 2
 #: Stands before and after each text; no UTF-8 text has it.
 EDGE = 0xFF
-#: Bytes of text whose pairs are made together.
-CHUNK = 2 << 20
+#: Bytes of text whose pairs are made together; small enough for the arrays to stay in cache.
+CHUNK = 1 << 18
 
 _U = np.uint64
+_FREE = _U(0xFFFFFFFFFFFFFFFF)  # no pair: its upper bytes are zero
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
@@ -104,33 +105,36 @@ def shard_of(keys: np.ndarray, depth: int, shards: int) -> np.ndarray:
     return (mix(context + _U(0x9E3779B97F4A7C15)) % _U(shards)).astype(np.int64)
 
 
-def questions(texts: list[bytes], depth: int, shards: int) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """A block's distinct pairs and words, each in the order asked (by shard, then value), and where the shards begin in both."""
-    found: list[np.ndarray] = []
-    for a, b in chunks(texts):
-        found.append(np.unique(pairs(texts[a:b], depth)))
-        if len(found) > 8:
-            found = [np.unique(np.concatenate(found))]
-    keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
-    at = shard_of(keys, depth, shards)
-    keys = keys[np.argsort(at, kind="stable")]
+def counted(texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of the texts in order, and how often each occurs."""
+    keys, counts, held = [], [], 0
+    for a, b in chunks(texts, 4 * CHUNK):
+        k = np.sort(pairs(texts[a:b], depth))
+        first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
+        keys.append(k[first])
+        counts.append(np.diff(np.r_[first, len(k)]))
+        held += len(first)
+        if held > 1 << 21:
+            k, c = _summed(np.concatenate(keys), np.concatenate(counts))
+            keys, counts, held = [k], [c], 0
+    return _summed(np.concatenate(keys), np.concatenate(counts)) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+
+
+def distinct(texts: list[bytes], depth: int) -> tuple[np.ndarray, set[bytes]]:
     words: set[bytes] = set()
     for t in texts:
         words.update(t.split())
-    named = sorted((zlib.crc32(w) % shards, w) for w in words)
-    bounds = np.searchsorted(np.fromiter((s for s, _ in named), np.int64, len(named)), np.arange(shards + 1))
-    return keys, np.searchsorted(np.sort(at), np.arange(shards + 1)), [w for _, w in named], bounds
-
+    return counted(texts, depth)[0], words
 
-def pack(a: np.ndarray) -> bytes:
-    """An array's bytes by place, compressed: sorted numbers share their upper bytes."""
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes())
 
-
-def unpack(data: bytes, kind: str) -> np.ndarray:
-    width = np.dtype(kind).itemsize
-    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(flat.reshape(width, -1).T).reshape(-1).view(kind)
+def in_order(keys: np.ndarray, words: Iterable[bytes], depth: int, shards: int) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+    """A block's distinct pairs (as places in ``keys``) and words in the order asked, by shard, then value, and where the shards begin in both."""
+    at = shard_of(keys, depth, shards)
+    listed: list[list[bytes]] = [[] for _ in range(shards)]
+    for w in sorted(words):
+        listed[crc32(w) % shards].append(w)
+    bounds = np.cumsum([0, *map(len, listed)])
+    return np.argsort(at, kind="stable"), np.cumsum(np.r_[0, np.bincount(at, minlength=shards)]), [w for x in listed for w in x], bounds
 
 
 ASKED = "shard int, block int, pairs binary, pair_counts binary, words binary, word_counts binary"
@@ -142,15 +146,20 @@ def _lowered(part: pa.Table) -> list[bytes]:
 
 def ask(part: pa.Table, depth: int, shards: int) -> pa.Table:
     """A block's questions to every shard, with its counts in training texts (0: only asked for)."""
-    texts = _lowered(part)
-    keys, bounds, words, word_bounds = questions(texts, depth, shards)
-    train = [t for t, h in zip(texts, part.column("held_out").to_pylist()) if not h]
-    place, counts = Lookup(keys), np.zeros(len(keys), np.int64)
-    for a, b in chunks(train):
-        counts += np.bincount(place(pairs(train[a:b], depth)), minlength=len(keys))
+    texts, held = _lowered(part), part.column("held_out").to_pylist()
+    (learned, n), (tested, _) = (counted([t for t, h in zip(texts, held) if h == rest], depth) for rest in (False, True))
+    keys, counts = _summed(np.concatenate([learned, tested]), np.concatenate([n, np.zeros(len(tested), np.int64)]))
     seen: Counter[bytes] = Counter()
-    for t in train:
-        seen.update(t.split())
+    for t, h in zip(texts, held):
+        if not h:
+            seen.update(t.split())
+    for t, h in zip(texts, held):
+        if h:
+            for w in t.split():
+                if w not in seen:
+                    seen[w] = 0
+    order, bounds, words, word_bounds = in_order(keys, seen, depth, shards)
+    keys, counts = keys[order], counts[order]
     word_counts = np.fromiter((seen[w] for w in words), np.int64, len(words))
     block, rows = part.column("block")[0].as_py(), []
     for s in range(shards):
@@ -335,33 +344,31 @@ def answer(part: pa.Table, depth: int, top: Top) -> pa.Table:
 
 
 class Lookup:
-    """Places of given distinct numbers, in a table with open addressing: vectorised gathers instead of searches."""
+    """Values of given distinct numbers, in a table with open addressing: two vectorised gathers from one place."""
 
-    def __init__(self, keys: np.ndarray) -> None:
-        bits = max(4, int(4 * len(keys) + 1).bit_length())
-        self.keys, self.shift, self.mask = keys, _U(64 - bits), (1 << bits) - 1
-        self.slot = np.full(1 << bits, -1, np.int32)
-        left = np.arange(len(keys), dtype=np.int32)
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(4, int(2 * len(keys) + 1).bit_length())
+        self.shift, self.mask = _U(64 - bits), (1 << bits) - 1
+        self.key, self.value = np.full(1 << bits, _FREE), np.zeros(1 << bits)
         at = self._home(keys)
-        while left.size:
-            free = self.slot[at] < 0
-            self.slot[at[free]] = left[free]
-            waits = self.slot[at] != left
-            left, at = left[waits], (at[waits] + 1) & self.mask
+        while len(keys):
+            free = self.key[at] == _FREE
+            self.key[at[free]] = keys[free]
+            mine = self.key[at] == keys
+            self.value[at[mine]] = values[mine]
+            keys, values, at = keys[~mine], values[~mine], (at[~mine] + 1) & self.mask
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * _U(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((keys * _U(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        """Each key's place; all must be there."""
+        """Each key's value; all must be there."""
         at = self._home(keys)
-        out = self.slot[at]
-        wrong = np.flatnonzero(self.keys[out] != keys)
+        wrong = np.flatnonzero(self.key[at] != keys)
         while wrong.size:
             at[wrong] = (at[wrong] + 1) & self.mask
-            out[wrong] = self.slot[at[wrong]]
-            wrong = wrong[self.keys[out[wrong]] != keys[wrong]]
-        return out
+            wrong = wrong[self.key[at[wrong]] != keys[wrong]]
+        return self.value[at]
 
 
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_log double, score double, n_bytes long"
@@ -370,17 +377,18 @@ SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, base_log d
 def score_block(part: pa.Table, told: pa.Table, depth: int, shards: int, end_count: int) -> pa.Table:
     """Scores of a block's documents from the shards' answers."""
     texts = _lowered(part)
-    keys, _, words, _ = questions(texts, depth, shards)
+    keys, said_words = distinct(texts, depth)
+    asked_order, _, words, _ = in_order(keys, said_words, depth, shards)
     order = np.argsort(told.column("shard").to_numpy())
     answers = told.select(["log_p", "counts"]).take(pa.array(order)).to_pylist()
     log_p = np.concatenate([np.frombuffer(x["log_p"], "<f8") for x in answers])
     known = np.concatenate([unpack(x["counts"], "<i8") for x in answers])
-    value, place = np.log10(known + 0.1), Lookup(keys)
+    value, lookup = np.log10(known + 0.1), Lookup(keys[asked_order], log_p)
     number = {w: i for i, w in enumerate(words)}
     end_value, get = math.log10(end_count + 0.1), number.__getitem__
     score, n_tokens, n_known, base = [], [], [], []
     for a, b in chunks(texts):
-        each = log_p[place(pairs(texts[a:b], depth))]
+        each = lookup(pairs(texts[a:b], depth))
         ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts[a:b]), np.int64, b - a))
         score.append(np.add.reduceat(each, np.r_[0, ends[:-1]]))
         for t in texts[a:b]:

@@ -11,10 +11,11 @@ Each window's anchor is its longest such symbol (ties: by name), or a hash of th
 runs. Equal windows have equal anchors, so no repeat is lost. Neighbouring windows mostly share an anchor: about a fifth as
 many anchors as words leave a task. Four steps follow:
 
-1. blocks of documents send their distinct anchors; those in two documents or more are shared;
-2. each block gets back its shared anchors and sends its windows that stand on one, as 128-bit hashes of their
-   words with the least document that has each;
-3. windows that another block has in a smaller document return to their blocks: the verified repeats;
+1. blocks of documents send their distinct anchors to shards by hash, a packed message for each block and shard; a shard
+   answers which are in two documents or more;
+2. each block sends its windows that stand on a shared anchor, as 128-bit hashes of their words with the least
+   document that has each;
+3. the shards answer with those windows that another block has in a smaller document: the verified repeats;
 4. blocks remove the words of windows that start in a smaller document, of another block or their own.
 
 Passages in many documents are summed up in each block before any shuffle, so a hot one makes as many rows as there are
@@ -34,11 +35,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks, scratch
-from .texts import as_bytes
+from .texts import as_bytes, pack, unpack
 
 WINDOW = 13
 ROUNDS = 3
@@ -191,30 +192,101 @@ def _distinct(found: list[tuple[list[np.ndarray], np.ndarray, np.ndarray]], keys
     return _least(ks, np.concatenate([a for _, a, _ in found] + [b for _, _, b in found]))
 
 
-def block_anchors(part: pa.Table, window: int, rounds: int) -> pa.Table:
-    """A block's distinct anchors, and whether two of its documents have it."""
-    ids, found = _ids(part), []
+def _parsed(part: pa.Table, window: int, rounds: int) -> list[tuple[Piece, np.ndarray, np.ndarray]]:
+    """A block's pieces, with their windows and these' anchors."""
+    out = []
     for p in pieces(_words(part), window):
         at = windows(p, window)
-        a, d = anchors(p, at, window, rounds), p.doc[at]
+        out.append((p, at, anchors(p, at, window, rounds)))
+    return out
+
+
+def _by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of sorted keys by shard, then key, and where the shards begin in it."""
+    at = (keys % _U(shards)).astype(np.int64)
+    return np.argsort(at, kind="stable"), np.cumsum(np.r_[0, np.bincount(at, minlength=shards)])
+
+
+def _messages(block: int, bounds: np.ndarray, names: tuple[str, ...], columns: list[np.ndarray]) -> pa.Table:
+    """One row for each shard that is asked something: the columns' parts, packed."""
+    asked = [i for i in range(len(bounds) - 1) if bounds[i] < bounds[i + 1]]
+    out = {"shard": pa.array(asked, pa.int32()), "block": pa.array([block] * len(asked), pa.int32())}
+    return pa.table(out | {n: pa.array([pack(c[bounds[i] : bounds[i + 1]]) for i in asked], pa.binary()) for n, c in zip(names, columns)})
+
+
+def _distinct_anchors(parsed: list[tuple[Piece, np.ndarray, np.ndarray]]) -> np.ndarray:
+    return np.unique(np.concatenate([a for _, _, a in parsed])) if parsed else np.zeros(0, np.uint64)
+
+
+ANCHORS = "shard int, block int, anchors binary, several binary"
+
+
+def ask_anchors(part: pa.Table, window: int, rounds: int, shards: int) -> pa.Table:
+    """A block's distinct anchors, and whether two of its documents have each."""
+    ids, found = _ids(part), []
+    for p, at, a in _parsed(part, window, rounds):
+        d = p.doc[at]
         turn = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (d[1:] != d[:-1])]) if len(a) else np.zeros(0, np.int64)
         found.append(_least([a[turn]], ids[d[turn]]))
     (a,), low, high = _distinct(found, 1)
-    return pa.table({"block": np.full(len(a), part.column("block")[0].as_py(), np.int32), "anchor": a.view(np.int64), "several": low != high})
+    order, bounds = _by_shard(a, shards)
+    return _messages(part.column("block")[0].as_py(), bounds, ("anchors", "several"), [a[order], (low != high).astype(np.uint8)[order]])
+
+
+SHARED = "block int, shard int, shared binary"
+
+
+def answer_anchors(part: pa.Table) -> pa.Table:
+    """For each block that asked: which of its anchors are in two documents or more, in its order."""
+    each = [unpack(x, "<u8") for x in part.column("anchors").to_pylist()]
+    several = np.concatenate([unpack(x, "u1") for x in part.column("several").to_pylist()]) > 0
+    keys = np.concatenate(each)
+    order = np.argsort(keys, kind="stable")
+    new = np.r_[True, keys[order][1:] != keys[order][:-1]]
+    group = np.cumsum(new) - 1
+    shared = (np.bincount(group) > 1) | (np.bincount(group, weights=several[order]) > 0)
+    out = np.empty(len(keys), bool)
+    out[order] = shared[group]
+    parts = np.split(out, np.cumsum([len(x) for x in each])[:-1])
+    return pa.table({"block": part.column("block"), "shard": part.column("shard"), "shared": pa.array([pack(x.astype(np.uint8)) for x in parts], pa.binary())})
+
 
+WINDOWS = "shard int, block int, one binary, two binary, least binary"
 
-def block_windows(part: pa.Table, shared: pa.Table, window: int, rounds: int) -> pa.Table:
+
+def ask_windows(part: pa.Table, told: pa.Table, window: int, rounds: int, shards: int) -> pa.Table:
     """A block's distinct windows on shared anchors, with the least document that has each."""
-    wanted = np.sort(shared.column("anchor").to_numpy().astype(np.int64).view(np.uint64))
+    none = [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)]
+    if not part.num_rows or not told.num_rows:
+        return _messages(0, np.zeros(1, np.int64), ("one", "two", "least"), none)
+    parsed = _parsed(part, window, rounds)
+    keys = _distinct_anchors(parsed)
+    answers = told.select(["shared"]).take(pa.array(np.argsort(told.column("shard").to_numpy()))).column(0).to_pylist()
+    wanted = np.sort(keys[_by_shard(keys, shards)[0]][np.concatenate([unpack(x, "u1") for x in answers]) > 0])
     ids, found = _ids(part), []
-    for p in pieces(_words(part), window) if len(wanted) else ():
-        at = windows(p, window)
-        a = anchors(p, at, window, rounds)
+    for p, at, a in parsed if len(wanted) else ():
         at = at[wanted[np.minimum(np.searchsorted(wanted, a), len(wanted) - 1)] == a]
         found.append(_least([window_hash(p.one, at, window, 1), window_hash(p.two, at, window, 2)], ids[p.doc[at]]))
     (one, two), low, _ = _distinct(found, 2)
-    block = part.column("block")[0].as_py() if part.num_rows else 0
-    return pa.table({"block": np.full(len(one), block, np.int32), "one": one.view(np.int64), "two": two.view(np.int64), "least": low})
+    order, bounds = _by_shard(one, shards)
+    return _messages(part.column("block")[0].as_py(), bounds, ("one", "two", "least"), [one[order], two[order], low[order]])
+
+
+EARLIER = "block int, one binary, two binary"
+
+
+def answer_windows(part: pa.Table) -> pa.Table:
+    """For each block that asked: its windows that a smaller document of another block has."""
+    each = [[unpack(x, kind) for x in part.column(c).to_pylist()] for c, kind in (("one", "<u8"), ("two", "<u8"), ("least", "<i8"))]
+    one, two, least = (np.concatenate(x) for x in each)
+    order = np.lexsort((two, one))
+    new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])]
+    first = np.minimum.reduceat(least[order], np.flatnonzero(new))
+    later = np.empty(len(one), bool)
+    later[order] = first[np.cumsum(new) - 1] < least[order]
+    cuts = np.cumsum([len(x) for x in each[0]])[:-1]
+    picked = [[pack(x[m]) for x, m in zip(np.split(values, cuts), np.split(later, cuts))] for values in (one, two)]
+    return pa.table({"block": part.column("block"), "one": pa.array(picked[0], pa.binary()), "two": pa.array(picked[1], pa.binary())})
 
 
 def _member(one: np.ndarray, two: np.ndarray, known_one: np.ndarray, known_two: np.ndarray) -> np.ndarray:
@@ -279,7 +351,7 @@ def _kept(words: list[bytes], mask: np.ndarray | None) -> bytes:
 
 def block_report(part: pa.Table, earlier: pa.Table, window: int, texts: bool) -> pa.Table:
     words, ids = _words(part), _ids(part)
-    keys = tuple(earlier.column(c).to_numpy().astype(np.int64).view(np.uint64) for c in ("one", "two"))
+    keys = tuple(np.concatenate([np.zeros(0, np.uint64), *(unpack(x, "<u8") for x in earlier.column(c).to_pylist())]) for c in ("one", "two"))
     masks = removed_words(words, ids, keys, window)
     kept = [_kept(w, m) for w, m in zip(words, masks)]
     out = {
@@ -294,16 +366,13 @@ def block_report(part: pa.Table, earlier: pa.Table, window: int, texts: bool) ->
 def dedup(docs: DataFrame, window: int = WINDOW, rounds: int = ROUNDS, texts: bool = True, block_bytes: int = blocks.BLOCK_BYTES) -> DataFrame:
     """One row per document: words, removed words, the digest of what is kept and, with ``texts``, the kept text."""
     dealt = blocks.deal(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), "recompress", block_bytes)
-    asked = dealt.groupBy("block").applyInArrow(lambda part: block_anchors(part, window, rounds), "block int, anchor long, several boolean")
-    same = Window.partitionBy("anchor")
-    shared = asked.withColumn("blocks", F.count("*").over(same)).withColumn("any", F.max("several").over(same)).where("blocks > 1 OR any").select("block", "anchor")
-    shared = scratch.table(shared, "anchors")
+    shards = dealt.select("block").distinct().count() or 1
+    asked = dealt.groupBy("block").applyInArrow(lambda part: ask_anchors(part, window, rounds, shards), ANCHORS)
+    shared = scratch.table(asked.groupBy("shard").applyInArrow(answer_anchors, SHARED), "anchors")
     scratch.tidy(docs.sparkSession)
 
-    found = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(lambda part, keys: block_windows(part, keys, window, rounds), "block int, one long, two long, least long")
-    first = Window.partitionBy("one", "two")
-    earlier = found.withColumn("first", F.min("least").over(first)).where("first < least").select("block", "one", "two")
-    earlier = scratch.table(earlier, "repeats")
+    found = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(lambda part, told: ask_windows(part, told, window, rounds, shards), WINDOWS)
+    earlier = scratch.table(found.groupBy("shard").applyInArrow(answer_windows, EARLIER), "repeats")
     scratch.tidy(docs.sparkSession)
 
     return dealt.groupBy("block").cogroup(earlier.groupBy("block")).applyInArrow(lambda part, keys: block_report(part, keys, window, texts), REPORT + ", text string" * texts)

@@ -93,4 +93,4 @@ def test_beats_the_base_on_held_out_texts(spark):
 def test_lookup():
     keys = np.unique(np.random.default_rng(0).integers(0, 1 << 60, 5000).astype(np.uint64))
     ask = np.random.default_rng(1).permutation(np.repeat(keys, 3))
-    assert (keys[ctw.Lookup(keys)(ask)] == ask).all() and len(ctw.Lookup(keys[:0])(keys[:0])) == 0
+    assert (ctw.Lookup(keys, keys.astype(float))(ask) == ask.astype(float)).all() and len(ctw.Lookup(keys[:0], np.zeros(0))(keys[:0])) == 0
