@@ -1,8 +1,9 @@
 """Benchmark decontamination with suffix arrays over shards of the corpus.
 
 Each shard of documents (a slice of an Arrow batch) gets a suffix array over its words, and every suffix of
-the benchmark is binary-searched in it. Equal ranges of the array are the verbatim occurrences; the
-neighbours of the insertion point bound the longest match of each suffix.
+the benchmark is binary-searched in it. Equal ranges of the array are the verbatim occurrences. For the longest
+match it is the other way round: words of a document are searched in a suffix array of the benchmark, in steps of
+halving powers of two, so every document gets its own, of any length.
 
 Words the benchmark doesn't have can't be part of a match, so a shard's array only holds the suffixes that
 start in runs of benchmark words at least as long as the shortest window; all other suffixes sort apart from
@@ -17,6 +18,7 @@ repeated rows are judged one by one; other columns are passed by.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 
 import numpy as np
@@ -29,8 +31,8 @@ from .texts import ALNUM, as_bytes, map_slices, slices
 
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 4 << 20
-#: Longest match that is measured, in words; longer ones count as this.
-LONGEST = 4096
+#: What ``ALNUM`` and a split make of a text, for Java.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 class Benchmark:
@@ -56,6 +58,108 @@ class Benchmark:
         self.item, self.left, self.need = (np.array(x, np.int64)[self.start] if x else np.zeros(0, np.int64) for x in (item, left, need))
         self.shortest = int(self.need[self.need > 0].min()) if len(self.need) else 0
         self.longest = int(self.left.max()) if len(self.left) else 0
+        self.floor = self.shortest
+
+    @functools.cached_property
+    def index(self) -> Index:
+        """Built where it is first asked for, so that it isn't sent along."""
+        return Index(self)
+
+
+class Index:
+    """Every place of the benchmark in the order of the words from it, with ranks of its runs of 1, 2, 4 ... words.
+
+    ``ranks[k]`` at a place numbers the up to 2 ** k words from it, an item's end coming before every word; ``pairs[k]`` are
+    the runs of 2 ** k whole words, as (rank of the first half, rank of the second) in one number, and ``known[k]`` their ranks.
+    """
+
+    def __init__(self, bench: Benchmark) -> None:
+        n, self.names = len(bench.words), sorted(set(bench.ids))
+        left, rank, order = np.zeros(n, np.int64), np.maximum(bench.words, 0), np.zeros(n, np.int64)
+        left[bench.start] = bench.left
+        self.wide = bench.longest + 1
+        # the least item id, then the earliest place in it
+        number = np.searchsorted(np.array(self.names, object), np.array(bench.ids, object)) if bench.ids else np.zeros(0, np.int64)
+        first = bench.start[np.searchsorted(bench.item, np.arange(len(bench.ids)))]
+        order[bench.start] = number[bench.item] * self.wide + bench.start - first[bench.item]
+        self.ranks, self.pairs, self.known = [rank], [None], [None]
+        h, size = 1, len(bench.vocabulary) + 1
+        while h < bench.longest:
+            after = np.zeros(n, np.int64)
+            after[:-h] = np.where(left[:-h] > h, rank[h:], 0)
+            values, at, turn = np.unique(rank * size + after, return_index=True, return_inverse=True)
+            whole = left[at] >= 2 * h
+            # places with no word have rank 0 and come first
+            self.pairs.append((values[whole], size))
+            self.known.append(np.flatnonzero(whole))
+            rank = turn.astype(np.int64)
+            self.ranks.append(rank)
+            h, size = 2 * h, len(values) + 1
+        self.array = np.argsort(rank, kind="stable")
+        self.order = order[self.array]
+
+    def levels(self, known: np.ndarray) -> list[np.ndarray]:
+        """Ranks of the runs of 1, 2, 4 ... words from the words of documents; 0 where the benchmark has no such run."""
+        out, h = [np.maximum(known, 0)], 1
+        for pairs, ranks in zip(self.pairs[1:], self.known[1:]):
+            values, size = pairs
+            before, now = out[-1], np.zeros(len(known), np.int64)
+            at = np.flatnonzero((before[:-h] > 0) & (before[h:] > 0)) if h < len(before) else np.zeros(0, np.int64)
+            if not len(at) or not len(values):
+                break
+            key = before[at] * size + before[at + h]
+            spot = np.minimum(np.searchsorted(values, key), len(values) - 1)
+            same = values[spot] == key
+            now[at[same]] = ranks[spot[same]]
+            if not same.any():
+                break
+            out.append(now)
+            h *= 2
+        return out
+
+    def longest(self, known: np.ndarray, doc: np.ndarray, n_docs: int, least: int) -> list[tuple[int, int, int, int]]:
+        """(document, words, place, order) of the longest run of at least ``least`` words that each document shares with an item."""
+        levels = self.levels(known)
+        top = np.full(n_docs, -1, np.int64)
+        for k, ranks in enumerate(levels):
+            top[doc[ranks > 0]] = k
+        # a longest match begins with a longest run of 2 ** k words
+        at = np.concatenate([x[top[doc[x]] == k] for k, ranks in enumerate(levels) if 2 ** (k + 1) > least for x in [np.flatnonzero(ranks)]] or [np.zeros(0, np.int64)])
+        if not len(at):
+            return []
+        lo, hi, length = np.zeros(len(at), np.int64), np.full(len(at), len(self.array), np.int64), np.zeros(len(at), np.int64)
+        for k in range(len(levels) - 1, -1, -1):
+            there = at + length
+            run = np.where(there < len(known), levels[k][np.minimum(there, len(known) - 1)], 0)
+            live = np.flatnonzero(run)
+            a = self._bound(k, lo[live], hi[live], length[live], run[live], False)
+            b = self._bound(k, a, hi[live], length[live], run[live], True)
+            some = b > a
+            live = live[some]
+            lo[live], hi[live] = a[some], b[some]
+            length[live] += 1 << k
+        by = np.lexsort((at, -length, doc[at]))
+        by = by[np.r_[True, doc[at[by[1:]]] != doc[at[by[:-1]]]]]
+        least_of: dict[tuple[int, int], int] = {}
+        out = []
+        for i in by.tolist():
+            if length[i] >= least:
+                span = int(lo[i]), int(hi[i])
+                if span not in least_of:
+                    least_of[span] = int(self.order[span[0] : span[1]].min())
+                out.append((int(doc[at[i]]), int(length[i]), int(at[i]), least_of[span]))
+        return out
+
+    def _bound(self, k: int, lo: np.ndarray, hi: np.ndarray, length: np.ndarray, run: np.ndarray, right: bool) -> np.ndarray:
+        """Within lo..hi, where all have the same ``length`` words, the first place whose next 2 ** k words aren't before (right: are after) the run."""
+        lo, hi, ranks = lo.copy(), hi.copy(), self.ranks[k]
+        while (open_ := np.flatnonzero(lo < hi)).size:
+            mid = (lo[open_] + hi[open_]) >> 1
+            ours = ranks[self.array[mid] + length[open_]]
+            up = ours <= run[open_] if right else ours < run[open_]
+            lo[open_[up]] = mid[up] + 1
+            hi[open_[~up]] = mid[~up]
+        return lo
 
 
 def suffix_array(words: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -92,18 +196,6 @@ def search(words: np.ndarray, array: np.ndarray, query: np.ndarray, start: np.nd
     return lo
 
 
-def common(words: np.ndarray, at: np.ndarray, query: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Words in common from ``at`` and from ``start``; 0 where ``at`` is negative."""
-    out, live, j = np.zeros(len(start), np.int64), np.flatnonzero(at >= 0), 0
-    while live.size and j < LONGEST:
-        live = live[left[live] > j]
-        same = words[np.minimum(at[live] + j, len(words) - 1)] == query[start[live] + j]
-        live = live[same]
-        out[live] += 1
-        j += 1
-    return out
-
-
 def judge(texts: list[bytes], bench: Benchmark, longest: bool = True) -> list[dict]:
     """Per text: number of words, covered ranges as (start, end), the items that occur and the longest match."""
     tokens = b" | ".join(t.translate(ALNUM) for t in texts).split()
@@ -111,6 +203,11 @@ def judge(texts: list[bytes], bench: Benchmark, longest: bool = True) -> list[di
     known = np.fromiter((get(t, 0) for t in tokens), np.int64, len(tokens))
     cuts = np.r_[-1, np.flatnonzero(known == -1), len(known)]
     rows = [{"n_words": int(b - a - 1), "ranges": [], "items": [], "longest": 0, "longest_item": None, "longest_at": None, "item_at": None} for a, b in zip(cuts, cuts[1:])]
+    if longest and bench.floor and (known > 0).any():
+        doc = np.maximum(np.searchsorted(cuts, np.arange(len(known)), side="left") - 1, 0)
+        for d, length, at, order in bench.index.longest(known, doc, len(rows), bench.floor):
+            item, place = divmod(order, bench.index.wide)
+            rows[d] |= {"longest": length, "longest_item": bench.index.names[item], "longest_at": at - int(cuts[d]) - 1, "item_at": place}
     inside = known > 0
     edges = np.diff(np.r_[False, inside, False].astype(np.int8))
     begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
@@ -126,7 +223,7 @@ def judge(texts: list[bytes], bench: Benchmark, longest: bool = True) -> list[di
     flat[place] = known[source]
     where = np.zeros(len(flat), np.int64)
     where[place] = source
-    array = suffix_array(flat, place, min(bench.longest, LONGEST))
+    array = suffix_array(flat, place, int(bench.need.max()))
     doc = np.searchsorted(cuts, where, side="left") - 1
 
     asked = np.flatnonzero(bench.need)
@@ -147,28 +244,20 @@ def judge(texts: list[bytes], bench: Benchmark, longest: bool = True) -> list[di
         pairs = np.unique(doc[found] * len(bench.ids) + bench.item[asked[which]])
         for d, i in zip((pairs // len(bench.ids)).tolist(), (pairs % len(bench.ids)).tolist()):
             rows[d]["items"].append(bench.ids[i])
-    if longest:
-        spot = search(flat, array, bench.words, bench.start, bench.left, False)
-        for near in (np.where(spot < len(array), spot, -1), spot - 1):
-            at = np.where(near >= 0, array[np.maximum(near, 0)], -1)
-            length = common(flat, at, bench.words, bench.start, bench.left)
-            best = np.flatnonzero(length >= bench.shortest)
-            for q in best[np.argsort(length[best], kind="stable")].tolist():
-                d = int(doc[at[q]])
-                if length[q] > rows[d]["longest"]:
-                    i = int(bench.item[q])
-                    rows[d] |= {"longest": int(length[q]), "longest_item": bench.ids[i], "longest_at": int(where[at[q]] - cuts[d] - 1), "item_at": int(bench.start[q] - bench.start[np.searchsorted(bench.item, i)])}
     return rows
 
 
 def _blocks(benchmark: DataFrame, window: int, block_bytes: int):
     """The benchmark in parts of bounded size, each built on the driver."""
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").dropna()
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
+    words = F.size(F.regexp_extract_all("text", F.lit(WORD), 0))
+    size, floor = items.agg(F.sum(F.octet_length("text")), F.min(F.when(words > 0, F.least(words, F.lit(window))))).first()
+    n = max(1, -(-(size or 0) // block_bytes))
     for k in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield k == n - 1, Benchmark(sorted((r.item_id, r.text.encode()) for r in part.toLocalIterator()), window)
+        bench = Benchmark(sorted((r.item_id, r.text.encode()) for r in part.toLocalIterator()), window)
+        bench.floor = floor or 0  # of all blocks, so that their number changes no result
+        yield k == n - 1, bench
 
 
 def _digest(items: set[str]) -> str:
@@ -189,13 +278,18 @@ REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 stri
 _CARRIED = "doc_id long, text string, starts array<long>, ends array<long>, items array<string>, longest long, longest_item string, longest_at long, item_at long"
 
 
+def _place(row: dict) -> tuple:
+    """The longest match first; of equal ones that which begins first, then the least item id and place in it."""
+    return (-row["longest"], row["longest_at"] or 0, row["longest_item"] or "", row["item_at"] or 0)
+
+
 def _merged(part: pa.RecordBatch, bench: Benchmark, longest: bool) -> list[dict]:
     rows = judge(as_bytes(part.column("text")), bench, longest)
     if "starts" in part.schema.names:
         for row, old in zip(rows, part.drop_columns(["text"]).to_pylist()):
             row["ranges"] += zip(old["starts"], old["ends"])
             row["items"] += old["items"]
-            if old["longest"] > row["longest"]:
+            if _place(old) < _place(row):
                 row |= {k: old[k] for k in ("longest", "longest_item", "longest_at", "item_at")}
     return rows
 
@@ -204,7 +298,9 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
     """One row per document: covered words, items that occur, the verdict, and its longest verbatim match.
 
     A document is contaminated if ``share`` times its covered words are at least its words, and any is covered.
-    ``longest_match`` is in words, from word ``longest_at`` of the document and word ``item_at`` of the item.
+    ``longest_match`` is in words, from word ``longest_at`` of the document and word ``item_at`` of the item: the longest run of words that the
+    document shares with any item, if it has at least the words of the benchmark's shortest window. Of equal ones it is the first of the
+    document, then that of the least item id and place.
     """
     current = docs.select("doc_id", "text")
 

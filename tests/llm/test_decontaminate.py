@@ -75,6 +75,42 @@ def test_longest_match(spark):
     assert got[2].n_hit == 0 and not got[2].contaminated
 
 
+def brute_longest(docs, items, window=13):
+    """(doc_id, longest_match, longest_item, longest_at, item_at) by comparing every place with every place."""
+    cut = [(str(i), WORD.findall(lower(t))) for i, t in items if i is not None and t is not None]
+    least = min(min(window, len(w)) for _, w in cut if w)
+    out = []
+    for doc_id, text in docs:
+        w, best = WORD.findall(lower(text)), (0, 0, "", 0)
+        for name, words in cut:
+            before = [0] * (len(words) + 1)
+            for i in range(len(w) - 1, -1, -1):
+                row = [before[j + 1] + 1 if w[i] == words[j] else 0 for j in range(len(words))] + [0]
+                best = min([best, *((-n, i, name, j) for j, n in enumerate(row) if n >= least)])
+                before = row
+        out.append((doc_id, -best[0], *(best[2], best[1], best[3])) if best[0] else (doc_id, 0, None, None, None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 400])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_longest_match_of_every_document_in_a_slice(spark, seed, block_bytes):
+    docs, items = case(seed)
+    passage = next(t for i, t in items if t and len(t.split()) == 40)
+    docs += [(100 + i, f"copy q{i} {passage} end") for i in range(5)] + [(110 + i, f"part {' '.join(passage.split()[i : 30 + i])} end") for i in range(5)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = d.report(df, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes).collect()
+    assert sorted(((r.doc_id, r.longest_match, r.longest_item, r.longest_at, r.item_at) for r in got), key=str) == brute_longest(docs, items)
+    assert all(r.longest_match >= 2 for r in got if r.n_hit) and sum(r.longest_match >= 40 for r in got) >= 5
+
+
+def test_longest_match_has_no_limit(spark):
+    words = [f"u{i}" for i in range(9000)]
+    docs = [(i, f"a b {' '.join(words[i:])} c") for i in range(3)] + [(3, " ".join(words[:5000] + words[4000:]))]
+    got = d.report(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")).collect()
+    assert [(r.longest_match, r.longest_at, r.item_at) for r in sorted(got)] == [(9000, 2, 0), (8999, 2, 1), (8998, 2, 2), (5000, 0, 0)]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")
