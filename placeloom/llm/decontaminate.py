@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import scratch
 from .texts import ALNUM, as_bytes, map_slices, slices
@@ -275,6 +276,7 @@ def _joined(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, longest_match long, longest_item string, longest_at long, item_at long"
+_STARTS, _ENDS = "__starts", "__ends"
 _CARRIED = "doc_id long, text string, starts array<long>, ends array<long>, items array<string>, longest long, longest_item string, longest_at long, item_at long"
 
 
@@ -330,17 +332,33 @@ def report(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int =
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, window: int = 13, share: int = 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The documents, all columns unchanged, without the contaminated ones; no shuffle."""
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > block_bytes:
-        bad = report(docs, benchmark, window, share, longest=False, block_bytes=block_bytes).where("contaminated").select("doc_id").distinct()
-        return docs.join(bad, "doc_id", "left_anti")
-    (_, bench), *_ = _blocks(benchmark, window, size + 1)
-
-    def run(batches):
-        for part in slices(batches, limit=SHARD_BYTES):
-            rows = judge(as_bytes(part.column("text")), bench, longest=False)
-            hits = [sum(b - a for a, b in _joined(r["ranges"])) for r in rows]
-            yield part.filter(pa.array([not (h > 0 and share * h >= r["n_words"]) for h, r in zip(hits, rows)]))
-
-    return docs.mapInArrow(run, docs.schema)
+    """The documents, all columns unchanged, without the contaminated ones; no shuffle.
+
+    Between blocks, whole rows are carried with their covered ranges, so each row is judged alone whatever its id; a row that is
+    contaminated already isn't carried on, as more blocks only cover more of it.
+    """
+    covered = pa.list_(pa.int64())
+
+    def pass_over(bench: Benchmark, is_last: bool):
+        def run(batches):
+            for part in slices(batches, limit=SHARD_BYTES):
+                rows = judge(as_bytes(part.column("text")), bench, longest=False)
+                if _STARTS in part.schema.names:
+                    for row, a, b in zip(rows, part.column(_STARTS).to_pylist(), part.column(_ENDS).to_pylist()):
+                        row["ranges"] += zip(a, b)
+                    part = part.drop_columns([_STARTS, _ENDS])
+                ranges = [_joined(r["ranges"]) for r in rows]
+                hits = [sum(b - a for a, b in x) for x in ranges]
+                if not is_last:
+                    part = part.append_column(_STARTS, pa.array([[a for a, _ in x] for x in ranges], covered)).append_column(_ENDS, pa.array([[b for _, b in x] for x in ranges], covered))
+                yield part.filter(pa.array([not (h > 0 and share * h >= r["n_words"]) for h, r in zip(hits, rows)]))
+
+        return run
+
+    current, carried = docs, StructType([*docs.schema.fields, *StructType.fromDDL(f"{_STARTS} array<long>, {_ENDS} array<long>").fields])
+    for is_last, bench in _blocks(benchmark, window, block_bytes):
+        out = current.mapInArrow(pass_over(bench, is_last), docs.schema if is_last else carried)
+        if is_last:
+            return out
+        current = scratch.table(out, "decontaminate")
+    raise AssertionError("there is always a last block")

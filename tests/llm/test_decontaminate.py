@@ -62,8 +62,19 @@ def test_matches_brute_force(spark, block_bytes):
     kept = d.remove(docs_df, bench, block_bytes=block_bytes)
     assert kept.columns == docs_df.columns
     clean = [x[0] for x in brute(docs, items) if not x[-1]]
-    if block_bytes > 1000:
-        assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, clean))
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, clean))
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 400])
+def test_remove_judges_each_row_alone(spark, block_bytes):
+    docs, items = case()
+    passage = next(t for i, t in items if t and len(t.split()) == 40)
+    docs += [(None, passage), (None, "clean"), (3, passage), (3, "clean too"), (3, passage), (None, None)]
+    df = spark.createDataFrame([(a, b, f"row {i}", i) for i, (a, b) in enumerate(docs)], "doc_id long, text string, n_words string, items int")
+    kept = d.remove(df, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes)
+    want = [i for i, x in enumerate(docs) if not brute([x], items)[0][-1]]
+    assert kept.schema == df.schema and sorted(r["items"] for r in kept.collect()) == want
+    assert len(want) < len(docs) and {len(docs) - 5, len(docs) - 3, len(docs) - 1} <= set(want)
 
 
 def test_longest_match(spark):
