@@ -3,7 +3,7 @@
 quality        documents that the classifier scores under its threshold go
 near_dups      of each near-duplicate component the document with the least id stays
 decontaminate  documents with benchmark passages go
-secrets        live secrets are cut out of the texts, widely copied examples stay
+secrets        secrets are cut out of the texts, widely copied examples stay
 mix            documents are taken, up to four times, until the target weights of the sources are met
 
 Each stage gets what the one before kept, written as Parquet and read again, with the columns of ``documents``; the

@@ -131,15 +131,17 @@ def report(docs: DataFrame, max_repos: int = MAX_REPOS, max_owners: int = MAX_OW
 
 
 def redact(docs: DataFrame, mark: str = "[secret]", max_repos: int = MAX_REPOS, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """The documents with every live secret replaced by ``mark``; widely copied examples stay.
+    """The documents with every secret replaced by ``mark``; widely copied examples stay.
 
+    A base span is cut unless its value is a widely copied example, however it looks; only weak candidates have to look live.
     A text that changes gets its new length in ``n_chars`` where that column exists; other columns stay. The
     spans to cut come back by document id and a hash of the text, so rows that share an id keep apart.
     """
     scanned = scan(docs)
     found = candidates(scanned)
     verdict = scratch.table(ownership(found, max_repos, max_owners), "ownership")
-    cuts = found.join(verdict.where("owned").select("hash"), "hash", "left_semi").groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__cuts"))
+    # weak candidates all look live, so of these too the ones that aren't examples are the owned ones
+    cuts = found.join(verdict.where("NOT example").select("hash"), "hash", "left_semi").groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__cuts"))
     by_text = scanned.select("row", F.col("doc_id").alias("__id"), F.col("fp").alias("__fp")).join(cuts, "row").groupBy("__id", "__fp").agg(F.max("__cuts").alias("__cuts"))
 
     @F.pandas_udf("string")
