@@ -129,6 +129,13 @@ def haversine_knn(spark, d):
     return spatial.nearest(points, sites, 3, 0.02)
 
 
+def haversine_knn_exact(spark, d):
+    p = places(spark, d)
+    points = p.where("place_id % 100 = 0").select(F.col("place_id").alias("point_id"), "lat", "lon")
+    sites = p.where("category_id = 'education.university'").select(F.col("place_id").alias("site_id"), "lat", "lon")
+    return spatial.nearest_anywhere(points, sites, 3, 0.02)
+
+
 def _areas(spark):
     boxes = [("kz", "country", "Kazakhstan", geo.Box(46.49, 40.57, 87.36, 55.44)), ("r1", "region", "Almaty region", geo.Box(76.0, 42.5, 78.0, 44.5)), ("c1", "city", "Almaty", geo.Box(76.86, 43.2, 77.02, 43.32))]
     boxes += [(f"d{i}{j}", "district", f"District {i}{j}", geo.Box(76.86 + 0.04 * i, 43.2 + 0.04 * j, 76.9 + 0.04 * i, 43.24 + 0.04 * j)) for i in range(3) for j in range(3)]
@@ -200,6 +207,8 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY cell, kind ORDER BY distanc
     "category_compat_join": f"{_P}, c AS (SELECT category_id AS c, count(*) AS n FROM places WHERE category_id IS NOT NULL GROUP BY 1) SELECT a.c AS a, b.c AS b, a.n * b.n AS pairs FROM c a JOIN c b ON split_part(a.c, '.', 1) = split_part(b.c, '.', 1)",
     "haversine_knn": f"""{_P}, m AS (SELECT p.place_id AS point_id, s.place_id AS site_id, round(2 * 6371008.8e0 * asin(least(1.0e0, sqrt(pow(sin(radians(s.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - p.lon) / 2), 2)))), 3) AS distance_m
 FROM places p JOIN places s ON abs(floor(p.lon / 0.02e0) - floor(s.lon / 0.02e0)) <= 1 AND abs(floor(p.lat / 0.02e0) - floor(s.lat / 0.02e0)) <= 1 WHERE p.place_id % 50 = 1 AND s.category_id = 'education.university'), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY point_id ORDER BY distance_m, site_id) AS INTEGER) AS n FROM m) SELECT * FROM r WHERE n <= 3""",
+    "haversine_knn_exact": f"""{_P}, m AS (SELECT p.place_id AS point_id, s.place_id AS site_id, round(2 * 6371008.8e0 * asin(least(1.0e0, sqrt(pow(sin(radians(s.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - p.lon) / 2), 2)))), 3) AS distance_m
+FROM places p JOIN places s ON s.category_id = 'education.university' WHERE p.place_id % 100 = 0), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY point_id ORDER BY distance_m, site_id) AS INTEGER) AS n FROM m) SELECT * FROM r WHERE n <= 3""",
     "admin_area_assign": f"{_P}, {_AREAS_SQL}, {_ASSIGN_SQL} SELECT point_id, area_id FROM hit WHERE n = 1",
     "admin_parent": f"WITH {_AREAS_SQL}, h AS (SELECT c.area_id, p.area_id AS parent_id, row_number() OVER (PARTITION BY c.area_id ORDER BY (p.xmax - p.xmin) * (p.ymax - p.ymin), p.rank, p.area_id) AS n FROM ar c JOIN ar p ON p.rank > c.rank AND (c.xmin + c.xmax) / 2 BETWEEN p.xmin AND p.xmax AND (c.ymin + c.ymax) / 2 BETWEEN p.ymin AND p.ymax) SELECT area_id, parent_id FROM h WHERE n = 1",
     "area_sizes": f"WITH {_AREAS_SQL} SELECT area_id, round((xmax - xmin) * (ymax - ymin), 6) AS size, xmin, round((xmin + xmax) / 2, 6) AS x, round((ymin + ymax) / 2, 6) AS y FROM ar",

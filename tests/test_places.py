@@ -179,3 +179,21 @@ def test_areas(spark):
     points = spark.createDataFrame([(1, 1.5, 1.5), (2, 2.5, 2.5), (3, 9.0, 9.0), (4, 20.0, 1.0)], "point_id long, lon double, lat double")
     assert {r.point_id: r.area_id for r in spatial.assign(points, areas).collect()} == {1: "d", 2: "c", 3: "kz"}
     assert {r.area_id: r.parent_id for r in spatial.parents(areas).collect()} == {"c": "kz", "d": "c"}
+
+
+def test_nearest_anywhere(spark):
+    import math
+    import random
+
+    r = random.Random(3)
+    points = [(i, r.uniform(76.8, 77.0), r.uniform(43.1, 43.3)) for i in range(30)] + [(100, 179.99, 10.0), (101, -20.0, -50.0), (102, 5.0, 89.5), (103, 76.901, 43.201)]
+    sites = [(i, r.uniform(76.85, 76.95), r.uniform(43.15, 43.25)) for i in range(25)] + [(50, -179.99, 10.0), (51, 179.0, 10.0), (52, -170.0, -50.0), (53, -175.0, 89.4)]
+
+    def metres(x1, y1, x2, y2):
+        h = math.sin(math.radians(y2 - y1) / 2) ** 2 + math.cos(math.radians(y1)) * math.cos(math.radians(y2)) * math.sin(math.radians(x2 - x1) / 2) ** 2
+        return round(2 * geo.EARTH_M * math.asin(min(1, math.sqrt(h))), 3)
+
+    want = {(p, n): s for p, x, y in points for n, (_, s) in enumerate(sorted((metres(x, y, a, b), s) for s, a, b in sites)[:3], 1)}
+    given = spark.createDataFrame(points, "point_id long, lon double, lat double"), spark.createDataFrame(sites, "site_id long, lon double, lat double")
+    assert {(x.point_id, x.n): x.site_id for x in spatial.nearest_anywhere(*given, 3, 0.02).collect()} == want
+    assert {(x.point_id, x.n): x.site_id for x in spatial.nearest(*given, 3, 0.02).collect()} != want
