@@ -136,6 +136,13 @@ STATUS = {"open": "open", "permanently_closed": "closed", "closed": "closed", "t
 AREA_LEVELS = {"region": "region", "locality": "city", "macrohood": "district"}
 PRIORITIES = {"osm": 10, "overture_places": 20}
 
+# Fixed values. Sources: id | name | license | attribution | commercial use | storage | share alike | how often | priority | license's address.
+SOURCES = """
+osm | OpenStreetMap (Geofabrik extracts) | ODbL-1.0 | © OpenStreetMap contributors | yes | yes | yes | daily (we ingest monthly) | 10 | https://www.openstreetmap.org/copyright
+overture_places | Overture Maps — Places | CDLA-Permissive-2.0 | Overture Maps Foundation; contributors incl. Meta, Microsoft, Foursquare (Apache-2.0), AllThePlaces (CC0-1.0) | yes | yes | no | monthly | 20 | https://docs.overturemaps.org/attribution/
+overture_divisions | Overture Maps — Divisions | ODbL-1.0 | © OpenStreetMap contributors, Overture Maps Foundation; geoBoundaries / Esri Community Maps (CC-BY-4.0) | yes | yes | yes | monthly | 20 | https://docs.overturemaps.org/attribution/
+"""
+
 # Fixed values. Weights by ring, and of the score's parts.
 RING_WEIGHTS = (1.0, 0.6, 0.3)
 SCORE_WEIGHTS = {"activity": 0.35, "anchors": 0.20, "competition": 0.20, "gap": 0.25}

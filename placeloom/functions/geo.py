@@ -66,28 +66,45 @@ class MetricGrid:
         return F.floor(lon / self.steps[1])
 
 
-def ring_covers(ring: Column, x: Column, y: Column) -> Column:
-    """Struct of (odd, edge): crossings of a ray to the right are odd; the point lies on the boundary."""
+def sides_of(ring: Column) -> Column:
+    """The sides of a closed ring as structs (ax, ay, bx, by); a ring of one point has none."""
     n = F.size(ring)
-    sides = F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: F.struct(F.get(ring, i).alias("a"), F.get(ring, i + 1).alias("b")))
+    side = lambda i: F.struct(F.get(ring, i)["x"].alias("ax"), F.get(ring, i)["y"].alias("ay"), F.get(ring, i + 1)["x"].alias("bx"), F.get(ring, i + 1)["y"].alias("by"))
+    return F.filter(F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), side), lambda s: s["bx"].isNotNull())
+
+
+def crosses(side: Column, x: Column, y: Column) -> Column:
+    """Whether a ray from the point to the right crosses the side."""
+    level = F.when(side["by"] == side["ay"], F.lit(1.0)).otherwise(side["by"] - side["ay"])
+    return ((side["ay"] > y) != (side["by"] > y)) & (x < side["ax"] + (side["bx"] - side["ax"]) * (y - side["ay"]) / level)
+
+
+def sides_cover(sides: Column, x: Column, y: Column) -> Column:
+    """Struct of (odd, edge): crossings of a ray to the right are odd; the point lies on a side."""
 
     def one(acc, s):
-        ax, ay, bx, by = s["a"]["x"], s["a"]["y"], s["b"]["x"], s["b"]["y"]
-        cross = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
-        on = (cross == 0) & x.between(F.least(ax, bx), F.greatest(ax, bx)) & y.between(F.least(ay, by), F.greatest(ay, by))
-        flips = ((ay > y) != (by > y)) & (x < ax + (bx - ax) * (y - ay) / F.when(by == ay, F.lit(1.0)).otherwise(by - ay))
-        return F.struct((acc["odd"] != flips).alias("odd"), (acc["edge"] | on).alias("edge"))
+        cross = (s["bx"] - s["ax"]) * (y - s["ay"]) - (s["by"] - s["ay"]) * (x - s["ax"])
+        on = (cross == 0) & x.between(F.least(s["ax"], s["bx"]), F.greatest(s["ax"], s["bx"])) & y.between(F.least(s["ay"], s["by"]), F.greatest(s["ay"], s["by"]))
+        return F.struct((acc["odd"] != crosses(s, x, y)).alias("odd"), (acc["edge"] | on).alias("edge"))
 
     return F.aggregate(sides, F.struct(F.lit(False).alias("odd"), F.lit(False).alias("edge")), one)
 
 
 def covers(rings: Column, x: Column, y: Column) -> Column:
-    """Whether a polygon of ``array<array<struct<x,y>>>`` rings, holes and parts alike by the odd rule, covers a point; its boundary counts."""
-    hits = F.transform(rings, lambda r: ring_covers(r, x, y))
+    """Whether a polygon of ``array<array<struct<x,y>>>`` rings, holes by the odd rule, covers a point; its boundary counts.
+
+    The odd rule is also what makes a ring that crosses itself valid: the region it encloses an odd number of times.
+    """
+    hits = F.transform(rings, lambda r: sides_cover(sides_of(r), x, y))
     odd = F.aggregate(hits, F.lit(False), lambda a, h: a != h["odd"])
     return F.exists(hits, lambda h: h["edge"]) | odd
 
 
+def covers_any(parts: Column, x: Column, y: Column) -> Column:
+    """Whether any polygon of an array of them covers a point: their union, however they overlap."""
+    return F.exists(parts, lambda rings: covers(rings, x, y))
+
+
 def area(rings: Column) -> Column:
     """Square degrees: the shoelace sum of the first ring less those of the others that run the other way."""
 

@@ -114,7 +114,7 @@ def normalize_domain(url: Column) -> Column:
     full = F.when(F.contains(url, F.lit("://")), url).otherwise(F.concat(F.lit("http://"), url))
     place = F.regexp_extract(full, r"^[^/?#]*://([^/?#]*)", 1)
     host = F.lower(F.regexp_replace(F.regexp_replace(place, r"^.*@", ""), r":[^:]*$", ""))
-    bare = F.when(host.startswith("www."), F.substring(host, 5, 4000)).otherwise(host)
+    bare = F.when(host.startswith("www."), F.substr(host, F.lit(5))).otherwise(host)
     shared = bare.isin(*SHARED_HOSTS)
     for h in SHARED_HOSTS:
         shared = shared | bare.endswith("." + h)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import job_key
+
 STALE_HOURS = 6
 MAX_ATTEMPTS = 3
 # Named groups of countries.
@@ -45,9 +47,7 @@ def checkpoint(jobs: DataFrame, job_id: int, now: Column, step: str | None = Non
     new = {"status": F.lit(status), "locked_at": now, "error": F.lit(error)}
     if step is not None:
         new["step"] = F.lit(step)
-    if stats:
-        fresh = F.create_map(*(F.lit(str(x)) for kv in stats.items() for x in kv))
-        new["stats"] = F.map_concat(F.map_filter(F.coalesce("stats", F.create_map().cast("map<string,string>")), lambda k, _: ~F.map_contains_key(fresh, k)), fresh)
+    new |= _with_stats(stats)
     return _changed(jobs, F.col("id") == job_id, new)
 
 
@@ -59,4 +59,58 @@ def retry_failed(jobs: DataFrame, reset: bool = False) -> DataFrame:
 def resolve_version(jobs: DataFrame) -> DataFrame:
     """Per country the version of its resolve job: the sorted list of its sources' versions."""
     part = F.concat_ws("=", "source_id", "version")
-    return jobs.where("kind = 'source'").groupBy("iso2").agg(F.array_join(F.sort_array(F.collect_list(part)), ",").alias("version"))
+    return jobs.where("kind = 'source'").groupBy("iso2").agg(F.array_join(F.sort_array(F.collect_list(part)), "|").alias("version"))
+
+
+def _new_jobs(jobs: DataFrame, rows: list[tuple], now: Column) -> DataFrame:
+    """Pending jobs from (iso2, kind, source, version, pipeline, depends_on), with ids after the largest there is."""
+    first = (jobs.agg(F.max("id")).first()[0] or 0) + 1
+    keys = "n long, iso2 string, kind string, source_id string, version string, pipeline string, depends_on array<long>"
+    new = jobs.sparkSession.createDataFrame([(i, *r) for i, r in enumerate(rows)], keys)
+    given = {"id": F.col("n") + first, "job_key": job_key(F.col("iso2"), F.col("kind"), F.col("source_id"), F.col("version"), F.col("pipeline")), "iso2": F.upper("iso2"), "status": F.lit("PENDING"), "attempts": F.lit(0), "created_at": now, "stats": F.create_map()}
+    given |= {c: F.col(c) for c in ("kind", "source_id", "version", "pipeline", "depends_on")}
+    return new.select(*(given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in jobs.schema.fields))
+
+
+def plan(jobs: DataFrame, iso2: str, versions: dict[str, str], pipeline: str, now: Column) -> DataFrame:
+    """``jobs`` with those of a country: one for each source and version, and the resolve job that waits for all of them. Known keys add nothing."""
+    sources = sorted(versions.items())
+    out = enqueue(jobs, _new_jobs(jobs, [(iso2, "source", s, v, pipeline, []) for s, v in sources], now))
+    wanted = [f"{iso2.upper()}:source:{s}:{v}:{pipeline}" for s, v in sources]
+    waits = sorted(r.id for r in out.where(F.col("job_key").isin(*wanted)).select("id").collect())  # one for each source
+    version = "|".join(f"{s}={v}" for s, v in sources)
+    return enqueue(out, _new_jobs(out, [(iso2, "resolve", None, version, pipeline, waits)], now))
+
+
+def set_version(jobs: DataFrame, job_id: int, version_id: int) -> DataFrame:
+    return _changed(jobs, F.col("id") == job_id, {"dataset_version": F.lit(version_id)})
+
+
+def _with_stats(stats: dict | None) -> dict[str, Column]:
+    if not stats:
+        return {}
+    fresh = F.create_map(*(F.lit(str(x)) for kv in stats.items() for x in kv))
+    return {"stats": F.map_concat(F.map_filter(F.coalesce("stats", F.create_map().cast("map<string,string>")), lambda k, _: ~F.map_contains_key(fresh, k)), fresh)}
+
+
+def complete(jobs: DataFrame, job_id: int, now: Column, stats: dict | None = None) -> DataFrame:
+    """The job is loaded: its last step done, its lock gone."""
+    return _changed(jobs, F.col("id") == job_id, {"status": F.lit("LOADED"), "step": F.lit("done"), "finished_at": now, "locked_by": F.lit(None), "locked_at": F.lit(None)} | _with_stats(stats))
+
+
+def fail(jobs: DataFrame, job_id: int, error: str) -> DataFrame:
+    """The job has failed; its step and attempts stay, so that a retry goes on from there."""
+    return _changed(jobs, F.col("id") == job_id, {"status": F.lit("FAILED"), "error": F.lit(error), "locked_by": F.lit(None), "locked_at": F.lit(None)})
+
+
+def log_run(runs: DataFrame, job_id: int, step: str, worker: str, status: str, now: Column, stats: dict | None = None, error: str | None = None) -> DataFrame:
+    """The run log with one more line."""
+    values = {"job_id": F.lit(job_id), "step": F.lit(step), "worker": F.lit(worker), "started_at": now, "finished_at": now, "status": F.lit(status), "error": F.lit(error)}
+    values["stats"] = F.create_map(*(F.lit(str(x)) for kv in (stats or {}).items() for x in kv))
+    line = runs.sparkSession.range(1).select(*(values[f.name].cast(f.dataType).alias(f.name) for f in runs.schema.fields))
+    return runs.unionByName(line)
+
+
+def summary(jobs: DataFrame) -> DataFrame:
+    """Failed jobs: (job_key, attempts, error)."""
+    return jobs.where("status = 'FAILED'").select("job_key", "attempts", "error")

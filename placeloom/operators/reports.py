@@ -35,8 +35,14 @@ def unmapped_share(places: DataFrame) -> DataFrame:
     return places.agg(F.count("*").alias("total"), F.count_if(F.col("category_id").isNull()).alias("unmapped")).withColumn("percent", F.bround(F.lit(100.0) * F.col("unmapped") / F.nullif(F.col("total"), F.lit(0)), 1))
 
 
-def totals(places: DataFrame) -> DataFrame:
-    return places.agg(F.count("*").alias("places"), F.count_distinct("cell").alias("cells"))
+def totals(places: DataFrame, areas: DataFrame | None = None, dirty: DataFrame | None = None, countries: DataFrame | None = None) -> DataFrame:
+    """One row: places and their cells; cities, dirty cells and countries where these tables are given."""
+    out = places.agg(F.count("*").alias("places"), F.count_distinct("cell").alias("cells"))
+    more = {"cities": areas.where("level = 'city'") if areas is not None else None, "dirty_cells": dirty, "countries": countries}
+    for name, df in more.items():
+        if df is not None:
+            out = out.join(df.agg(F.count("*").alias(name)), F.lit(True))
+    return out
 
 
 def coverage(countries: DataFrame, jobs: DataFrame, places: DataFrame) -> DataFrame:

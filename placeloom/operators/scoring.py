@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import stored
 from ..functions import categories as cat
 from ..functions.fixed import RING_WEIGHTS, SCORE_WEIGHTS
 from ..functions.geo import flat_m
@@ -17,42 +18,71 @@ from ..functions.hexgrid import HexGrid
 GRID = HexGrid()
 
 
-def cell_counts(places: DataFrame, target: str) -> DataFrame:
-    """(cell, total, anchors, comp2) of ``places`` (cell, category_id)."""
-    return places.groupBy("cell").agg(F.count("*").alias("total"), F.count_if(cat.is_anchor(F.col("category_id"))).alias("anchors"), F.sum(cat.competitor_halves(target, F.col("category_id"))).cast("long").alias("comp2"))
+def cell_counts(places: DataFrame, target: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, cell, total, anchors, comp2) of ``places`` (by, cell, category_id)."""
+    return places.groupBy(*by, "cell").agg(F.count("*").alias("total"), F.count_if(cat.is_anchor(F.col("category_id"))).alias("anchors"), F.sum(cat.competitor_halves(target, F.col("category_id"))).cast("long").alias("comp2"))
 
 
-def scatter(counts: DataFrame, grid: HexGrid = GRID) -> DataFrame:
-    """(cell, act10, anc10, comp20): ring-weighted sums for every occupied cell and its first ring."""
+def scatter(counts: DataFrame, grid: HexGrid = GRID, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, cell, act10, anc10, comp20): ring-weighted sums for every occupied cell and its first ring."""
     ten = [round(10 * w) for w in RING_WEIGHTS]
-    spread = counts.select("total", "anchors", "comp2", F.explode(grid.disk_by_ring(F.col("cell"), len(ten) - 1)).alias("n"))
+    spread = counts.select(*by, "total", "anchors", "comp2", F.explode(grid.disk_by_ring(F.col("cell"), len(ten) - 1)).alias("n"))
     weight = F.element_at(F.array(*(F.lit(w) for w in ten)), F.col("n.ring") + 1)
     comp = F.when(F.col("n.ring") <= 1, F.col("comp2") * weight).otherwise(0)
-    out = spread.groupBy(F.col("n.cell").alias("cell")).agg(F.sum(F.col("total") * weight).alias("act10"), F.sum(F.col("anchors") * weight).alias("anc10"), F.sum(comp).alias("comp20"), F.min("n.ring").alias("nearest"))
+    out = spread.groupBy(*by, F.col("n.cell").alias("cell")).agg(F.sum(F.col("total") * weight).alias("act10"), F.sum(F.col("anchors") * weight).alias("anc10"), F.sum(comp).alias("comp20"), F.min("n.ring").alias("nearest"))
     return out.where("nearest <= 1").drop("nearest")
 
 
-def mid_rank(value: str) -> Column:
-    """Share of rows below, ties counting half. One window over all candidate cells of a city."""
-    w = Window.orderBy(value)
-    upto = w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return (F.rank().over(w) - 1 + F.count("*").over(upto)) / 2 / F.count("*").over(Window.partitionBy())
+#: Ranges of values by which cumulative counts are taken in two steps: of log(1 + value), so that small whole numbers keep a range each.
+STEPS = 4096
 
 
-def score(places: DataFrame, target: str, grid: HexGrid = GRID) -> DataFrame:
-    """One row per candidate cell of ``places`` (cell, category_id, operating_status optional): score and its parts."""
+def mid_ranks(rows: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, of, value, share): for each value of each column the share of rows below it, ties counting half.
+
+    Values are counted first, so a value that most rows have is one row. Their counts are added up within ranges of values and over the
+    ranges, so neither a large city nor a table without cities goes through one task. Values aren't negative.
+    """
+    one = F.explode(F.array(*(F.struct(F.lit(c).alias("of"), F.col(c).cast("double").alias("value")) for c in columns))).alias("v")
+    keys = [*by, "of"]
+    counts = rows.select(*by, one).groupBy(*by, F.col("v.of").alias("of"), F.col("v.value").alias("value")).agg(F.count("*").alias("n")).withColumn("range", F.floor(F.log1p("value") * STEPS))
+    before = lambda *parts, order: Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.groupBy(*keys, "range").agg(F.sum("n").alias("in_range"))
+    starts = ranges.select(*keys, "range", F.coalesce(F.sum("in_range").over(before(*keys, order="range")), F.lit(0)).alias("start"), F.sum("in_range").over(Window.partitionBy(*keys)).alias("all"))
+    within = counts.withColumn("ahead", F.coalesce(F.sum("n").over(before(*keys, "range", order="value")), F.lit(0)))
+    same = [F.col(f"w.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "range"]]
+    met = within.alias("w").join(starts.alias("s"), same)
+    below = F.col("start") + F.col("ahead")
+    return met.select(*(F.col(f"w.{k}").alias(k) for k in keys), "value", ((below + below + F.col("n")) / 2 / F.col("all")).alias("share"))
+
+
+def _with_rank(rows: DataFrame, ranks: DataFrame, column: str, name: str, by: tuple[str, ...]) -> DataFrame:
+    mine = ranks.where(F.col("of") == column).select(*(F.col(k).alias(f"__{k}") for k in by), F.col("value").alias("__value"), F.col("share").alias(name))
+    on = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in by] + [F.col(column).cast("double") == F.col("__value")]
+    return rows.join(mine, on).drop("__value", *(f"__{k}" for k in by))
+
+
+def score(places: DataFrame, target: str, grid: HexGrid = GRID, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per candidate cell of ``places`` (cell, category_id, operating_status optional): score and its parts.
+
+    ``by`` names columns, as a city, within which cells are ranked. Cells and blends are written out between the steps.
+    """
     if "operating_status" in places.columns:
         places = places.where("operating_status <> 'closed'")
-    raw = scatter(cell_counts(places, target), grid).withColumn("sat", F.col("comp20") / (2.0 * (F.col("act10") + 10)))
-    out = raw.withColumn("p_activity", mid_rank("act10")).withColumn("p_anchors", mid_rank("anc10")).withColumn("p_sat", mid_rank("sat"))
+    raw = stored.table(scatter(cell_counts(places, target, by), grid, by).withColumn("sat", F.col("comp20") / (2.0 * (F.col("act10") + 10))), "cells")
+    ranks, out = stored.table(mid_ranks(raw, ["act10", "anc10", "sat"], by), "ranks"), raw
+    for column, name in (("act10", "p_activity"), ("anc10", "p_anchors"), ("sat", "p_sat")):
+        out = _with_rank(out, ranks, column, name, by)
     out = out.withColumn("balance", cat.competition_balance(F.col("comp20") / 20.0)).withColumn("p_gap", 1.0 - F.col("p_sat"))
     w = SCORE_WEIGHTS
-    out = out.withColumn("blend", w["activity"] * F.col("p_activity") + w["anchors"] * F.col("p_anchors") + w["competition"] * F.col("balance") + w["gap"] * F.col("p_gap"))
-    return out.withColumn("score", F.bround(100 * mid_rank("blend"), 0).cast("int")).select("cell", "score", "act10", "anc10", "comp20", "p_activity", "p_anchors", "balance", "p_gap")
+    blend = w["activity"] * F.col("p_activity") + w["anchors"] * F.col("p_anchors") + w["competition"] * F.col("balance") + w["gap"] * F.col("p_gap")
+    blended = stored.table(out.withColumn("blend", blend), "blended")
+    ranked = _with_rank(blended, mid_ranks(blended, ["blend"], by), "blend", "share", by)
+    return ranked.withColumn("score", F.bround(100 * F.col("share"), 0).cast("int")).select(*by, "cell", "score", "act10", "anc10", "comp20", "p_activity", "p_anchors", "balance", "p_gap")
 
 
-def medians(scored: DataFrame) -> DataFrame:
-    return scored.agg(*(F.median(F.col(c) / d).alias(n) for n, c, d in (("activity", "act10", 10.0), ("anchors", "anc10", 10.0), ("competitors", "comp20", 20.0))))
+def medians(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    return scored.groupBy(*by).agg(*(F.median(F.col(c) / d).alias(n) for n, c, d in (("activity", "act10", 10.0), ("anchors", "anc10", 10.0), ("competitors", "comp20", 20.0))))
 
 
 def reasons(scored: DataFrame) -> DataFrame:
@@ -67,17 +97,35 @@ def reasons(scored: DataFrame) -> DataFrame:
     return scored.select("cell", F.array_compact(F.array(*all_)).alias("why"))
 
 
+#: Wording of the reasons: {n} is the cell's number, {m} the median of all cells where the reason has one.
 TEXTS = {
-    "busy": "Оживлённое место: индекс активности {n}", "quiet": "Мало заведений вокруг: индекс активности {n}", "anchors": "Рядом точки притяжения: индекс {n}", "no_competitors": "Конкурентов рядом нет: спрос не подтверждён",
-    "some_competitors": "Умеренная конкуренция: {n}", "crowded": "Плотная конкуренция: {n}", "fewer_competitors_than_usual": "Конкурентов меньше, чем обычно при такой активности",
+    "busy": ("Lively surroundings: activity {n}, half of all cells have {m} or less", "activity"), "quiet": ("Few places around: activity {n}, half of all cells have {m} or more", "activity"),
+    "anchors": ("Places that draw people are close by: {n} by weight, {m} in the middle cell", "anchors"), "no_competitors": ("Nobody offers this nearby, so demand is unproven", None),
+    "some_competitors": ("A few competitors within a ring ({n} by weight) show that there is demand", None), "crowded": ("Many competitors within a ring: {n} by weight, {m} in the middle cell", "competitors"),
+    "fewer_competitors_than_usual": ("Fewer competitors than cells as lively usually have: {n}", None),
 }
 
 
-def best(scored: DataFrame, n: int = 5, separation: int = 2, batch: int = 256) -> list:
+def explained(scored: DataFrame, of: DataFrame | None = None) -> DataFrame:
+    """(cell, why): the reasons of ``scored`` in words, with the medians of ``of`` (by default ``scored`` itself) beside the numbers."""
+    shown = lambda c: F.regexp_replace(F.format_number(c, 1), r"\.0$", "")
+    middle = F.broadcast(medians(scored if of is None else of))  # one row
+
+    def words(w: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for code, (pattern, median) in TEXTS.items():
+            line = F.replace(F.lit(pattern), F.lit("{n}"), shown(w["number"]))
+            line = F.replace(line, F.lit("{m}"), shown(F.col(median))) if median else line
+            out = F.when(w["reason"] == code, line).otherwise(out)
+        return F.struct(w["sign"].alias("sign"), out.alias("text"))
+
+    return reasons(scored).join(middle, F.lit(True)).select("cell", F.transform("why", words).alias("why"))
+
+
+def best(scored: DataFrame, n: int = 5, separation: int = 2) -> list:
     """The best cells, none within ``separation`` of a better one chosen; ties by activity, then cell.
 
-    Greedy by nature: rows come in order, ``batch`` at a time, until ``n`` are chosen. At most n disks are blocked,
-    so few rows are ever read.
+    Greedy by nature: rows come in order until ``n`` are chosen. At most n disks are blocked, so few rows are ever read.
     """
     from ..functions.hexgrid import offsets
 
@@ -120,6 +168,17 @@ def cell_detail(cells: DataFrame, places: DataFrame, target: str, competitors: i
     return out.where(F.col("n") <= F.when(F.col("kind") == "anchor", anchors).otherwise(competitors)).select("cell", "kind", "place_id", "distance_m", "n")
 
 
+def places_nearby(cells: DataFrame, places: DataFrame, grid: HexGrid = GRID) -> DataFrame:
+    """(cell, places): open places within two rings of each cell, zero too."""
+    near = cells.select("cell", F.explode(grid.disk(F.col("cell"), 2)).alias("at"))
+    counts = places.where("operating_status <> 'closed'").groupBy(F.col("cell").alias("at")).agg(F.count("*").alias("n"))
+    return near.join(counts, "at", "left").groupBy("cell").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("places"))
+
+
 def quantile_breaks(scored: DataFrame) -> DataFrame:
-    """Score limits of the map's colours: the values at the floor of each share of the sorted scores."""
-    return scored.agg(F.sort_array(F.collect_list("score")).alias("s")).select(*(F.get("s", F.floor(F.lit(p) * (F.size("s") - 1)).cast("int")).alias(f"q{int(100 * p)}") for p in (0.0, 0.5, 0.75, 0.9, 0.97)))
+    """Score limits of the map's colours: the values at the floor of each share of the sorted scores, from the counts of the 101 scores there are."""
+    counts = scored.groupBy("score").agg(F.count("*").alias("n")).agg(F.sort_array(F.collect_list(F.struct("score", "n"))).alias("s"))
+    total = F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    upto = F.transform("s", lambda x: F.struct(x["score"].alias("score"), F.aggregate(F.filter("s", lambda y: y["score"] <= x["score"]), F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("n")))
+    rows = counts.select(upto.alias("u"), total.alias("total"))
+    return rows.select(*(F.get(F.filter("u", lambda x, p=p: x["n"] > F.floor(F.lit(p) * (F.col("total") - 1))), F.lit(0))["score"].alias(f"q{int(100 * p)}") for p in (0.0, 0.5, 0.75, 0.9, 0.97)))

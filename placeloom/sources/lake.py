@@ -66,9 +66,31 @@ class Lake:
             stream.close()
 
 
+#: Bytes of a file that are held at once.
+CHUNK = 1 << 20
+
+
 def sha256_of_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length, sha256) of the files there."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    """(path, length, sha256) of the files there, any length: a task opens its files and reads them piece by piece.
+
+    Driver and executors must see the folder under ``path``, as they do any input; the listing goes through Spark, the bytes through
+    pyarrow's file systems.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+
+    def digest(parts):
+        import pandas as pd
+        from pyarrow import fs
+
+        for part in parts:
+            sums = []
+            for p in part.path:
+                system, name = fs.FileSystem.from_uri(p if "://" in p else "file://" + p.removeprefix("file:"))
+                with system.open_input_stream(name) as stream:
+                    sums.append(sha256_of(iter(lambda: stream.read(CHUNK), b"")))
+            yield pd.DataFrame({"path": part.path, "length": part.length, "sha256": sums})
+
+    return found.mapInPandas(digest, "path string, length long, sha256 string")
 
 
 def sha256_of(chunks) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import categories as cat
 from ..functions import text
 from ..functions.fixed import AREA_LEVELS, STATUS
-from ..functions.geo import Box, covers
+from ..functions.geo import Box, covers, covers_any
 from ..functions.hexgrid import HexGrid
 
 PLACE_SCHEMA = (
@@ -39,6 +39,20 @@ def latest_release(names: list[str]) -> str:
     return max(names)
 
 
+def list_releases(spark: SparkSession, root: str) -> list[str]:
+    """Names of the release folders under ``root``."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return sorted(x.getPath().getName() for x in at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at) if x.isDirectory())
+
+
+def sample(places: DataFrame, box: Box, limit: int = 25) -> tuple[list[tuple[str, str]], DataFrame]:
+    """The columns of a places table with their types, and a few places of a box with what names their category. The limit is the feature."""
+    have = set(places.schema.fieldNames())
+    shown = [F.to_json(F.struct(c)).alias(c) for c in ("basic_category", "categories", "taxonomy") if c in have]
+    rows = places.where(box.contains(F.col("bbox.xmin"), F.col("bbox.ymin"))).select(F.col("names.primary").alias("name"), *shown).limit(limit)
+    return [(f.name, f.dataType.simpleString()) for f in places.schema.fields], rows
+
+
 def place_select(df: DataFrame, profile: str = "pipeline") -> list[Column]:
     """The columns of a places table that are there, under our names. Profile ``city`` takes coordinates from the box and the taxonomy's parts."""
     have = set(df.schema.fieldNames())
@@ -69,15 +83,25 @@ def extract(places: DataFrame, box: Box, rings: Column | None = None, profile: s
     return rows if rings is None else rows.where(covers(rings, F.col("lon"), F.col("lat")))
 
 
+def extract_country(places: DataFrame, country: DataFrame, profile: str = "pipeline") -> DataFrame:
+    """Places of the one country in ``country`` (its envelope and ``parts``), attached by a broadcast of that row; an error without a polygon."""
+    row = country.select("xmin", "ymin", "xmax", "ymax", F.size("parts").alias("n")).first()
+    if row is None or not row.n or row.n < 0:
+        raise ValueError("the country has no polygon")
+    rows = places.where(Box(row.xmin, row.ymin, row.xmax, row.ymax).intersects()).select(*place_select(places, profile))
+    one = F.broadcast(country.select("parts"))
+    return rows.join(one, F.lit(True)).where(covers_any(F.col("parts"), F.col("lon"), F.col("lat"))).drop("parts")
+
+
 def extract_city(places: DataFrame, box: Box) -> DataFrame:
     """Places whose box starts inside the city's."""
     return places.where(box.contains(F.col("bbox.xmin"), F.col("bbox.ymin"))).select(*place_select(places, "city"))
 
 
 def divisions(areas: DataFrame, country: str) -> DataFrame:
-    """Regions, cities and districts of a country: (area_id, level, name, rings or geometry)."""
+    """Regions, cities and districts of a country: (area_id, level, name, rings, parts or geometry)."""
     level = F.create_map(*(F.lit(x) for kv in AREA_LEVELS.items() for x in kv))
-    shape = [c for c in ("rings", "geometry") if c in areas.columns]
+    shape = [c for c in ("rings", "parts", "geometry") if c in areas.columns]
     return areas.where((F.col("country") == country.upper()) & F.col("subtype").isin(*AREA_LEVELS) & land(areas)).select(F.col("id").alias("area_id"), F.try_element_at(level, F.col("subtype")).alias("level"), F.coalesce("names.primary", F.lit("")).alias("name"), *shape)
 
 

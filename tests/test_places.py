@@ -156,6 +156,16 @@ def test_store(spark, tmp_path):
     best = store.best("almaty", TARGET, 3).collect()
     assert len(best) == 3 and all(r.landmark for r in best) and store.scores("almaty", TARGET) is store.scores("almaty", TARGET)
     assert {r.id: r.n for r in store.meta("almaty").collect()}["food.cafe"] == 40
+    one = store.cell(best[0].cell, "almaty", TARGET)
+    assert one["places_nearby"].first().places >= one["nearby"].count() > 0 and all(w.text and "{" not in w.text for w in one["why"].first().why)
+    assert store.table("lineage").count() == 160 and store.cities().first().slug == "almaty" and store.health(now).first().status == "ok"
+    columns, rows = store.sample("almaty", raw, 3)
+    assert ("id", "string") in columns and rows.count() == 3
+    with store.tables.locked("bootstrap"), pytest.raises(api.Busy):
+        store.bootstrap("almaty", raw, "r3", now, force=True)
+    kept = store.scores("almaty", TARGET)
+    store.clock = lambda at=store.clock() + api.KEPT_S + 1: at
+    assert store.scores("almaty", TARGET) is not kept
     assert store.cell(best[0].cell, "almaty", TARGET)["nearby"].count() > 0 and '"FeatureCollection"' in store.places("almaty", "food.cafe").first()[0]
     for bad in (lambda: store.scores("paris", TARGET), lambda: store.scores("almaty", "no"), lambda: store.best("almaty", TARGET, 21)):
         with pytest.raises((api.NotFound, api.Unknown)):
@@ -163,14 +173,18 @@ def test_store(spark, tmp_path):
 
 
 def test_stream(spark, tmp_path):
+    from placeloom.sources.tables import Tables
     from placeloom.streaming.incremental import merge_stream
 
     schema = "place_id string, content_hash string, cell long, loaded_on int"
     spark.createDataFrame([("a", "h0", 1, 0), ("z", "h9", 9, 0)], schema).write.parquet(str(tmp_path / "table"))
     spark.createDataFrame([("a", "h1", 2, 1), ("a", "h2", 3, 2), ("b", "h3", 4, 1), ("z", "h9", 9, 1)], schema).write.parquet(str(tmp_path / "in"))
-    merge_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "table"), str(tmp_path / "dirty"), str(tmp_path / "ck")).awaitTermination(120)
-    assert {(r.place_id, r.content_hash) for r in spark.read.parquet(str(tmp_path / "table")).collect()} == {("a", "h2"), ("b", "h3"), ("z", "h9")}
-    assert {r.cell for r in spark.read.parquet(str(tmp_path / "dirty")).collect()} == {3, 4}
+    store = Tables(spark, str(tmp_path / "store"))
+    store.commit({"place": spark.read.parquet(str(tmp_path / "table"))})
+    for again in range(2):  # a stream without its checkpoint begins anew, with the same batch numbers
+        merge_stream(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), store, str(tmp_path / f"ck{again}")).awaitTermination(120)
+        assert {(r.place_id, r.content_hash) for r in store.read("place").collect()} == {("a", "h2"), ("b", "h3"), ("z", "h9")}
+        assert {r.cell for r in store.read("dirty").collect() if r.cell is not None} == {3, 4} and store.number() == 2
 
 
 def test_areas(spark):
