@@ -181,4 +181,9 @@ def quantile_breaks(scored: DataFrame) -> DataFrame:
     total = F.aggregate("s", F.lit(0).cast("long"), lambda a, x: a + x["n"])
     upto = F.transform("s", lambda x: F.struct(x["score"].alias("score"), F.aggregate(F.filter("s", lambda y: y["score"] <= x["score"]), F.lit(0).cast("long"), lambda a, y: a + y["n"]).alias("n")))
     rows = counts.select(upto.alias("u"), total.alias("total"))
-    return rows.select(*(F.get(F.filter("u", lambda x, p=p: x["n"] > F.floor(F.lit(p) * (F.col("total") - 1))), F.lit(0))["score"].alias(f"q{int(100 * p)}") for p in (0.0, 0.5, 0.75, 0.9, 0.97)))
+
+    def at(share: float) -> Column:
+        place = F.floor(F.lit(share) * (F.col("total") - 1))
+        return F.get(F.filter("u", lambda x: x["n"] > place), F.lit(0))["score"].alias(f"q{int(100 * share)}")
+
+    return rows.select(*map(at, (0.0, 0.5, 0.75, 0.9, 0.97)))

@@ -8,7 +8,7 @@ from ..functions import categories as cat
 from ..functions import geo
 from ..functions.fixed import TAXONOMY, lines
 from ..operators import reports, scoring, spatial
-from .fixtures import OFFSETS_SQL, PLACES_SQL, SCORE_SQL, TARGET, places, table
+from .fixtures import OFFSETS_SQL, PLACES_SQL, SCORE_SQL, TARGET, cell_sql, places
 
 BOX = geo.Box(76.9, 43.22, 76.98, 43.28)
 
@@ -123,17 +123,18 @@ def category_compat_join(spark, d):
 
 
 def haversine_knn(spark, d):
+    """The three universities nearest to every place."""
     p = places(spark, d)
-    points = p.where("place_id % 50 = 1").select(F.col("place_id").alias("point_id"), "lat", "lon")
+    points = p.select(F.col("place_id").alias("point_id"), "lat", "lon")
     sites = p.where("category_id = 'education.university'").select(F.col("place_id").alias("site_id"), "lat", "lon")
-    return spatial.nearest(points, sites, 3, 0.02)
+    return spatial.nearest_anywhere(points, sites, 3)
 
 
 def haversine_knn_exact(spark, d):
     p = places(spark, d)
     points = p.where("place_id % 100 = 0").select(F.col("place_id").alias("point_id"), "lat", "lon")
     sites = p.where("category_id = 'education.university'").select(F.col("place_id").alias("site_id"), "lat", "lon")
-    return spatial.nearest_anywhere(points, sites, 3, 0.02)
+    return spatial.nearest_anywhere(points, sites, 3)
 
 
 def _areas(spark):
@@ -206,7 +207,7 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY cell, kind ORDER BY distanc
     "category_competition": f"{_P} SELECT place_id, CASE WHEN category_id = 'food.cafe.coffee_shop' THEN 2 WHEN category_id = 'food.cafe' THEN 1 ELSE 0 END AS halves, coalesce(category_id IN ('education.university', 'transport.metro'), false) AS anchor, coalesce(starts_with(category_id, 'food.'), false) AS food, round(CASE WHEN place_id % 20 < 0.5 THEN 0.55e0 WHEN place_id % 20 <= 3 THEN 1.0e0 WHEN place_id % 20 <= 6 THEN 0.65e0 ELSE greatest(0.15e0, 0.65e0 - 0.07e0 * (place_id % 20 - 6)) END, 6) AS balance FROM places",
     "category_compat_join": f"{_P}, c AS (SELECT category_id AS c, count(*) AS n FROM places WHERE category_id IS NOT NULL GROUP BY 1) SELECT a.c AS a, b.c AS b, a.n * b.n AS pairs FROM c a JOIN c b ON split_part(a.c, '.', 1) = split_part(b.c, '.', 1)",
     "haversine_knn": f"""{_P}, m AS (SELECT p.place_id AS point_id, s.place_id AS site_id, round(2 * 6371008.8e0 * asin(least(1.0e0, sqrt(pow(sin(radians(s.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - p.lon) / 2), 2)))), 3) AS distance_m
-FROM places p JOIN places s ON abs(floor(p.lon / 0.02e0) - floor(s.lon / 0.02e0)) <= 1 AND abs(floor(p.lat / 0.02e0) - floor(s.lat / 0.02e0)) <= 1 WHERE p.place_id % 50 = 1 AND s.category_id = 'education.university'), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY point_id ORDER BY distance_m, site_id) AS INTEGER) AS n FROM m) SELECT * FROM r WHERE n <= 3""",
+FROM places p JOIN places s ON s.category_id = 'education.university'), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY point_id ORDER BY distance_m, site_id) AS INTEGER) AS n FROM m) SELECT * FROM r WHERE n <= 3""",
     "haversine_knn_exact": f"""{_P}, m AS (SELECT p.place_id AS point_id, s.place_id AS site_id, round(2 * 6371008.8e0 * asin(least(1.0e0, sqrt(pow(sin(radians(s.lat - p.lat) / 2), 2) + cos(radians(p.lat)) * cos(radians(s.lat)) * pow(sin(radians(s.lon - p.lon) / 2), 2)))), 3) AS distance_m
 FROM places p JOIN places s ON s.category_id = 'education.university' WHERE p.place_id % 100 = 0), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY point_id ORDER BY distance_m, site_id) AS INTEGER) AS n FROM m) SELECT * FROM r WHERE n <= 3""",
     "admin_area_assign": f"{_P}, {_AREAS_SQL}, {_ASSIGN_SQL} SELECT point_id, area_id FROM hit WHERE n = 1",
@@ -216,5 +217,12 @@ FROM places p JOIN places s ON s.category_id = 'education.university' WHERE p.pl
     "flat_distance": f"{_P} SELECT place_id, CAST(round_even(sqrt(pow((lon - 76.9286e0) * 111320.0e0 * cos(radians(43.2389e0)), 2) + pow((lat - 43.2389e0) * 111320.0e0, 2)), 0) AS BIGINT) AS metres FROM places",
 }
 
-_NAMES = [*ORACLES, "best_spread", "hex_parents"]
-QUERIES = {n: globals()[n] for n in _NAMES}
+_CELLS = f"{_P}, m AS (SELECT DISTINCT cell AS own, cr * 300.0e0 / 111320.0e0 + 43.2389e0 AS lat, (cq + cr / 2.0e0) * (sqrt(3.0e0) * 200.0e0) / (111320.0e0 * 0.72857e0) + 76.9286e0 AS lon FROM places)"
+_UP = ", ".join(cell_sql("m", f"up{n}", 200.0 * 7.0 ** (n / 2)) for n in (1, 2, 3))
+ORACLES["hex_parents"] = f"{_CELLS}, {_UP} SELECT m.own AS cell, up1.cell AS parent1, up2.cell AS parent2, up3.cell AS parent3 FROM m JOIN up1 USING (own) JOIN up2 USING (own) JOIN up3 USING (own)"
+_FAR = "greatest(abs(x // 2097152 - cell // 2097152), abs(x % 2097152 - cell % 2097152), abs(x // 2097152 - cell // 2097152 + x % 2097152 - cell % 2097152)) > 2"
+ORACLES["best_spread"] = f"""WITH RECURSIVE {SCORE_SQL}, o AS (SELECT cell, score, act10, row_number() OVER (ORDER BY score DESC, act10 DESC, cell) AS i FROM scored), t AS (SELECT * FROM o WHERE i <= 95),
+g(i, chosen) AS (SELECT 0, []::BIGINT[] UNION ALL SELECT g.i + 1, CASE WHEN len(chosen) < 5 AND len(list_filter(chosen, lambda x: NOT ({_FAR}))) = 0 THEN list_append(chosen, cell) ELSE chosen END FROM g JOIN t ON t.i = g.i + 1),
+c AS (SELECT arg_max(chosen, i) AS l FROM g), u AS (SELECT unnest(l) AS cell, generate_subscripts(l, 1) AS place FROM c) SELECT CAST(place AS INTEGER) AS place, cell, score, act10 FROM u JOIN scored USING (cell)"""
+
+QUERIES = {n: globals()[n] for n in ORACLES}

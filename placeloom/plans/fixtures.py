@@ -19,8 +19,9 @@ def places(spark: SparkSession, sf_dir: str, grid: HexGrid = GRID) -> DataFrame:
     """City places from ``orders``: (place_id, name, lat, lon, category_id, source_category, operating_status, confidence, cell)."""
     k = F.col("o_orderkey")
     kind = k % 12
-    out = table(spark, sf_dir, "orders").where((k % 97) * (k % 89) < 4000).select(
-        k.alias("place_id"), F.concat(F.lit("place "), k).alias("name"), ((k * 7919) % 1250).cast("double") / 10000.0 + 43.2, ((k * 104729) % 1800).cast("double") / 10000.0 + 76.85,
+    dense = lambda n: F.when(k % 3 == 0, F.lit(n // 5)).otherwise(F.lit(n))  # noqa: E731 a third of all places are in a corner of the city
+    out = table(spark, sf_dir, "orders").select(
+        k.alias("place_id"), F.concat(F.lit("place "), k).alias("name"), ((k * 7919) % dense(1250)).cast("double") / 10000.0 + 43.2, ((k * 104729) % dense(1800)).cast("double") / 10000.0 + 76.85,
         F.when(kind <= 1, F.lit("food.cafe.coffee_shop")).when(kind == 2, F.lit("food.cafe")).when(kind == 3, F.lit("education.university")).when(kind == 4, F.lit("transport.metro")).when(kind != 5, F.lit("retail.convenience")),
         F.when(kind == 5, F.concat(F.lit("raw_"), k % 7)).otherwise(F.concat(F.lit("c"), kind)), F.when(k % 19 == 0, F.lit("closed")).otherwise(F.lit("open")), (k % 100).cast("double") / 100.0,
     ).toDF("place_id", "name", "lat", "lon", "category_id", "source_category", "operating_status", "confidence")
@@ -28,10 +29,10 @@ def places(spark: SparkSession, sf_dir: str, grid: HexGrid = GRID) -> DataFrame:
 
 
 PLACES_SQL = """
-raw AS (SELECT o_orderkey AS place_id, 'place ' || o_orderkey AS name, CAST((o_orderkey*7919) % 1250 AS DOUBLE)/10000.0e0 + 43.2e0 AS lat, CAST((o_orderkey*104729) % 1800 AS DOUBLE)/10000.0e0 + 76.85e0 AS lon,
+raw AS (SELECT o_orderkey AS place_id, 'place ' || o_orderkey AS name, CAST((o_orderkey*7919) % (CASE WHEN o_orderkey % 3 = 0 THEN 250 ELSE 1250 END) AS DOUBLE)/10000.0e0 + 43.2e0 AS lat, CAST((o_orderkey*104729) % (CASE WHEN o_orderkey % 3 = 0 THEN 360 ELSE 1800 END) AS DOUBLE)/10000.0e0 + 76.85e0 AS lon,
   CASE WHEN o_orderkey % 12 <= 1 THEN 'food.cafe.coffee_shop' WHEN o_orderkey % 12 = 2 THEN 'food.cafe' WHEN o_orderkey % 12 = 3 THEN 'education.university' WHEN o_orderkey % 12 = 4 THEN 'transport.metro' WHEN o_orderkey % 12 = 5 THEN NULL ELSE 'retail.convenience' END AS category_id,
   CASE WHEN o_orderkey % 12 = 5 THEN 'raw_' || (o_orderkey % 7) ELSE 'c' || (o_orderkey % 12) END AS source_category, CASE WHEN o_orderkey % 19 = 0 THEN 'closed' ELSE 'open' END AS operating_status, CAST(o_orderkey % 100 AS DOUBLE)/100.0e0 AS confidence
-  FROM orders WHERE (o_orderkey % 97) * (o_orderkey % 89) < 4000),
+  FROM orders),
 xy AS (SELECT *, (lon - 76.9286e0) * 111320.0e0 * 0.72857e0 AS x, (lat - 43.2389e0) * 111320.0e0 AS y FROM raw),
 qr AS (SELECT *, (x * 0.5773502691896258e0 - y / 3.0e0) / 200.0e0 AS q, (y * 2.0e0 / 3.0e0) / 200.0e0 AS r FROM xy),
 rd AS (SELECT *, floor(q + 0.5e0) AS rq, floor(r + 0.5e0) AS rr, floor(-q - r + 0.5e0) AS rs FROM qr),
@@ -70,7 +71,12 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = side("osm", "n", base.where(k % 4 != 3), F.col("lat"), F.col("p"), cat3, phone, domain)
     b = side("overture_places", "g", base.where(k % 3 != 2), F.col("lat") + (k % 11).cast("double") * 10.0 / 111320.0, name_b, F.when(k % 13 == 0, F.lit("transport.rail")).otherwise(cat3), phone, domain)
     c = side("overture_places", "d", base.where(k % 17 == 3), F.col("lat") + 5.0 / 111320.0, F.col("p"), cat3, none, none)
-    return a.unionByName(b).unionByName(c).withColumn("name", F.col("core_name")).withColumn("operating_status", F.when(F.substring("source_record_id", -1, 1) == "7", F.lit("closed")).otherwise(F.lit("unknown")))
+    # two names that share three of four words, 40 m apart: for a person to judge
+    away = F.col("lat") - 0.1
+    grey = base.where(k % 19 == 7)
+    e = side("osm", "f", grey, away, F.concat("p", F.lit(" alpha beta")), cat3, none, none)
+    f = side("overture_places", "h", grey, away + 40.0 / 111320.0, F.concat("p", F.lit(" alpha gamma")), cat3, none, none)
+    return a.unionByName(b).unionByName(c).unionByName(e).unionByName(f).withColumn("name", F.col("core_name")).withColumn("operating_status", F.when(F.substring("source_record_id", -1, 1) == "7", F.lit("closed")).otherwise(F.lit("unknown")))
 
 
 RECORDS_SQL = """
@@ -78,7 +84,9 @@ base AS (SELECT p_partkey AS k, lower(p_name) AS p, CAST((p_partkey*7919) % 2500
   CASE p_partkey % 3 WHEN 0 THEN 'food.cafe' WHEN 1 THEN 'health.pharmacy' ELSE 'retail.convenience' END AS c3, CASE WHEN p_partkey % 5 = 0 THEN '+7701' || lpad(CAST(p_partkey AS VARCHAR), 7, '0') END AS phone, CASE WHEN p_partkey % 7 = 0 THEN 'shop' || p_partkey || '.kz' END AS dom FROM part),
 recs AS (SELECT 'osm' AS source_id, 'n' || k AS source_record_id, p AS core_name, lat, lon, c3 AS category_id, phone AS phone_e164, dom AS domain, CAST(k % 100 AS DOUBLE) / 100.0e0 AS source_confidence FROM base WHERE k % 4 <> 3
   UNION ALL SELECT 'overture_places', 'g' || k, CASE k % 4 WHEN 0 THEN p || ' shop' WHEN 2 THEN 'zzz ' || k ELSE p END, lat + CAST(k % 11 AS DOUBLE) * 10.0e0 / 111320.0e0, lon, CASE WHEN k % 13 = 0 THEN 'transport.rail' ELSE c3 END, phone, dom, CAST(k % 100 AS DOUBLE) / 100.0e0 FROM base WHERE k % 3 <> 2
-  UNION ALL SELECT 'overture_places', 'd' || k, p, lat + 5.0e0 / 111320.0e0, lon, c3, NULL, NULL, CAST(k % 100 AS DOUBLE) / 100.0e0 FROM base WHERE k % 17 = 3),
+  UNION ALL SELECT 'overture_places', 'd' || k, p, lat + 5.0e0 / 111320.0e0, lon, c3, NULL, NULL, CAST(k % 100 AS DOUBLE) / 100.0e0 FROM base WHERE k % 17 = 3
+  UNION ALL SELECT 'osm', 'f' || k, p || ' alpha beta', lat - 0.1e0, lon, c3, NULL, NULL, CAST(k % 100 AS DOUBLE) / 100.0e0 FROM base WHERE k % 19 = 7
+  UNION ALL SELECT 'overture_places', 'h' || k, p || ' alpha gamma', lat - 0.1e0 + 40.0e0 / 111320.0e0, lon, c3, NULL, NULL, CAST(k % 100 AS DOUBLE) / 100.0e0 FROM base WHERE k % 19 = 7),
 records AS (SELECT *, core_name AS name, CASE WHEN right(source_record_id, 1) = '7' THEN 'closed' ELSE 'unknown' END AS operating_status FROM recs)"""
 
 LATITUDE = 43.275
@@ -90,3 +98,61 @@ pr AS (SELECT a.source_id AS asrc, a.source_record_id AS arec, b.source_id AS bs
   FROM g a JOIN g b ON abs(a.gi - b.gi) <= 1 AND abs(a.gj - b.gj) <= 1 AND (a.source_id, a.source_record_id) < (b.source_id, b.source_record_id)),
 sm AS (SELECT *, len(list_intersect(list_distinct(string_split(an, ' ')), list_distinct(string_split(bn, ' ')))) / least(len(list_distinct(string_split(an, ' '))), len(list_distinct(string_split(bn, ' '))))::DOUBLE AS sim FROM pr WHERE split_part(ac, '.', 1) = split_part(bc, '.', 1)),
 decided AS (SELECT asrc, arec, bsrc, brec, d, sim, CASE WHEN asrc = bsrc THEN CASE WHEN d <= 15 AND sim >= 0.97 THEN 'rule:same_source_duplicate' END WHEN ap = bp AND d <= 150 THEN 'rule:phone' WHEN ad = bd AND d <= 100 AND sim >= 0.6 THEN 'rule:domain' WHEN sim >= 0.92 AND d <= 75 THEN 'rule:name_close' WHEN sim >= 0.85 AND d <= 40 THEN 'rule:name_near' WHEN sim >= 0.75 AND d <= 60 THEN 'review:grey_zone' END AS method FROM sm)"""
+
+
+#: Similarity of names by the recurrence itself: letter by letter of the first name, the first free equal letter of the second in reach. ``names`` has (a, b).
+JARO_SQL = """
+jw(a, b, i, hits) AS (SELECT a, b, 0, []::BIGINT[] FROM names UNION ALL
+  SELECT a, b, i + 1, list_append(hits, coalesce(list_filter(range(greatest(1, i + 1 - reach), least(len(b), i + 1 + reach) + 1), lambda j: b[j] = a[i + 1] AND NOT list_contains(hits, j))[1], 0))
+  FROM (SELECT *, greatest(0, greatest(len(a), len(b)) // 2 - 1) AS reach FROM jw) WHERE i < len(a)),
+jm AS (SELECT a, b, list_filter(range(1, len(a) + 1), lambda x: hits[x] > 0) AS mine, list_sort(list_filter(hits, lambda x: x > 0)) AS theirs FROM jw WHERE i = len(a)),
+js AS (SELECT a, b, len(mine) AS m, len(list_filter(range(1, len(mine) + 1), lambda x: a[mine[x]] <> b[theirs[x]])) AS swapped,
+  CASE WHEN a[1] <> b[1] THEN 0 WHEN a[2] <> b[2] OR least(len(a), len(b)) < 2 THEN 1 WHEN a[3] <> b[3] OR least(len(a), len(b)) < 3 THEN 2 WHEN a[4] <> b[4] OR least(len(a), len(b)) < 4 THEN 3 ELSE 4 END AS pre FROM jm),
+jaro AS (SELECT a, b, CASE WHEN a = '' OR b = '' THEN 0.0e0 WHEN a = b THEN 1.0e0 WHEN m = 0 THEN 0.0e0 ELSE (m / len(a)::DOUBLE + m / len(b)::DOUBLE + (m - swapped / 2.0e0) / m) / 3 END AS j, pre FROM js),
+winkler AS (SELECT a, b, CASE WHEN j = 0 OR j = 1 THEN j ELSE j + pre * 0.1e0 * (1 - j) END AS sim FROM jaro)"""
+
+_RULE = "CASE WHEN asrc = bsrc THEN CASE WHEN d <= 15 AND sim >= 0.97 THEN 'rule:same_source_duplicate' END WHEN ap = bp AND d <= 150 THEN 'rule:phone' WHEN ad = bd AND d <= 100 AND sim >= 0.6 THEN 'rule:domain' WHEN sim >= 0.92 AND d <= 75 THEN 'rule:name_close' WHEN sim >= 0.85 AND d <= 40 THEN 'rule:name_near' WHEN sim >= 0.75 AND d <= 60 THEN 'review:grey_zone' END"
+_WORDS = "list_distinct(list_filter(string_split({}, ' '), lambda w: w <> ''))"
+
+
+def resolved_sql(records: str = "records") -> str:
+    """CTEs from the table of that name to ``members`` (its columns, entity, score, method): pairs of the grid, names' similarity, rules,
+    components, and the greedy pass in the order of its pairs, one step a row."""
+    pairs = DECIDED_SQL[len(RECORDS_SQL) :].split("sm AS")[0].strip().strip(",").replace("FROM records", f"FROM {records}")
+    x, y = _WORDS.format("an"), _WORDS.format("bn")
+    return f"""{pairs},
+near AS (SELECT * FROM pr WHERE (ac IS NULL OR bc IS NULL OR split_part(ac, '.', 1) = split_part(bc, '.', 1)) AND d <= CASE WHEN asrc = bsrc THEN 15 ELSE 150 END),
+names AS (SELECT DISTINCT an AS a, bn AS b FROM near),{JARO_SQL},
+alike AS (SELECT near.*, greatest(w.sim, len(list_intersect({x}, {y})) / least(len({x}), len({y}))::DOUBLE) AS sim FROM near JOIN winkler w ON w.a = an AND w.b = bn),
+ruled AS (SELECT *, {_RULE} AS method FROM alike),
+told AS (SELECT *, CASE method WHEN 'rule:same_source_duplicate' THEN 0.85e0 WHEN 'rule:phone' THEN 0.95e0 WHEN 'rule:name_near' THEN 0.8e0 WHEN 'review:grey_zone' THEN round_even(sim, 3) ELSE 0.9e0 END AS score FROM ruled WHERE method IS NOT NULL),
+links AS (SELECT asrc || chr(31) || arec AS ra, bsrc || chr(31) || brec AS rb, asrc AS sa, bsrc AS sb, score, d, method FROM told WHERE method <> 'review:grey_zone'),
+ways AS (SELECT ra AS u, rb AS v FROM links UNION SELECT rb, ra FROM links UNION SELECT ra, ra FROM links UNION SELECT rb, rb FROM links),
+reach(u, v) AS (SELECT u, v FROM ways UNION SELECT r.u, e.v FROM reach r JOIN ways e ON e.u = r.v),
+comp AS (SELECT u, min(v) AS c FROM reach GROUP BY u),
+turns AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY score DESC, d, ra, rb) AS n, links.* FROM links JOIN comp ON u = ra),
+pass(c, n, labels, ok) AS (SELECT c, 0, list({{'r': u, 'x': u}}), false FROM comp GROUP BY c UNION ALL
+  SELECT c, n + 1, CASE WHEN x = y OR held THEN labels ELSE list_transform(labels, lambda l: {{'r': l.r, 'x': CASE WHEN l.x = y THEN x ELSE l.x END}}) END, x = y OR NOT held FROM (
+    SELECT *, x <> y AND sa <> sb AND list_has_any(list_transform(list_filter(labels, lambda l: l.x = x), lambda l: split_part(l.r, chr(31), 1)), list_transform(list_filter(labels, lambda l: l.x = y), lambda l: split_part(l.r, chr(31), 1))) AS held FROM (
+      SELECT p.c, p.n, labels, t.sa, t.sb, list_filter(labels, lambda l: l.r = t.ra)[1].x AS x, list_filter(labels, lambda l: l.r = t.rb)[1].x AS y FROM pass p JOIN turns t ON t.c = p.c AND t.n = p.n + 1))),
+ends AS (SELECT c, unnest(arg_max(labels, n)) AS l FROM pass GROUP BY c),
+named AS (SELECT l.r AS rid, min(l.r) OVER (PARTITION BY c, l.x) AS entity FROM ends),
+done AS (SELECT t.*, ok FROM pass JOIN turns t USING (c, n)),
+hit AS (SELECT rid, arg_min(score, (-score, n)) AS score, arg_min(method, (-score, n)) AS method FROM (SELECT ra AS rid, score, method, n FROM done WHERE ok UNION ALL SELECT rb, score, method, n FROM done WHERE ok) GROUP BY rid),
+members AS (SELECT r.*, coalesce(n.entity, r.source_id || chr(31) || r.source_record_id) AS entity, coalesce(h.score, 1.0e0) AS score, coalesce(h.method, 'seed') AS method FROM {records} r LEFT JOIN named n ON n.rid = r.source_id || chr(31) || r.source_record_id LEFT JOIN hit h ON h.rid = n.rid)"""
+
+
+#: From ``members`` to ``entities``, the canonical record of each.
+CANONICAL_SQL = """
+ranked AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY CASE source_id WHEN 'osm' THEN 10 ELSE 20 END, -(CASE WHEN name <> '' THEN 1 ELSE 0 END + CASE WHEN phone_e164 IS NULL THEN 0 ELSE 1 END + CASE WHEN category_id IS NULL THEN 0 ELSE 1 END), source_id, source_record_id) AS pos,
+  row_number() OVER (PARTITION BY entity ORDER BY -len(string_split(coalesce(category_id, ''), '.')) * CASE WHEN category_id IS NULL THEN 0 ELSE 1 END, CASE source_id WHEN 'osm' THEN 10 ELSE 20 END, source_id, source_record_id) AS deep FROM members),
+entities AS (SELECT entity, coalesce(min_by(name, pos) FILTER (name <> ''), '') AS name, min_by(lat, pos) AS lat, min_by(lon, pos) AS lon, any_value(category_id) FILTER (deep = 1) AS category_id, min_by(phone_e164, pos) FILTER (phone_e164 IS NOT NULL) AS phone_e164, min_by(domain, pos) FILTER (domain IS NOT NULL) AS domain,
+  CASE WHEN bool_and(operating_status = 'closed') THEN 'closed' ELSE min_by(operating_status, pos) END AS operating_status, round_even(least(0.99e0, 1 - exp(sum(ln(1 - least(greatest(source_confidence, 0), 0.99e0))))), 3) AS confidence, count(DISTINCT source_id) AS source_count FROM ranked GROUP BY entity)"""
+
+
+def cell_sql(rows: str, name: str, size: float = 200.0) -> str:
+    """CTEs from ``rows`` (lat, lon) to ``name`` with the cell of a grid of that size."""
+    return f"""{name}_q AS (SELECT *, ((lon - 76.9286e0) * 111320.0e0 * 0.72857e0 * 0.5773502691896258e0 - (lat - 43.2389e0) * 111320.0e0 / 3.0e0) / {size!r}e0 AS {name}_x, ((lat - 43.2389e0) * 111320.0e0 * 2.0e0 / 3.0e0) / {size!r}e0 AS {name}_y FROM {rows}),
+{name}_r AS (SELECT *, floor({name}_x + 0.5e0) AS {name}_a, floor({name}_y + 0.5e0) AS {name}_b, floor(-{name}_x - {name}_y + 0.5e0) AS {name}_c FROM {name}_q),
+{name}_d AS (SELECT *, abs({name}_a - {name}_x) AS {name}_p, abs({name}_b - {name}_y) AS {name}_s, abs({name}_c + {name}_x + {name}_y) AS {name}_t FROM {name}_r),
+{name} AS (SELECT * EXCLUDE ({name}_x, {name}_y, {name}_a, {name}_b, {name}_c, {name}_p, {name}_s, {name}_t), CAST((CASE WHEN {name}_p > {name}_s AND {name}_p > {name}_t THEN -{name}_b - {name}_c ELSE {name}_a END + 1048576) * 2097152 + (CASE WHEN {name}_p > {name}_s AND {name}_p > {name}_t THEN {name}_b WHEN {name}_s > {name}_t THEN -{name}_a - {name}_c ELSE {name}_b END) + 1048576 AS BIGINT) AS cell FROM {name}_d)"""

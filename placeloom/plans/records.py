@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import ingest
 from ..functions import categories as cat
 from ..functions import text
 from ..functions.fixed import PHONE_RULES, PLACE_CATEGORIES, SHARED_HOSTS, TAG_CATEGORIES, inverted
 from ..functions.geo import Box, MetricGrid
 from ..operators import jobs, reports, resolve, upsert, validation
-from .fixtures import DECIDED_SQL, LATITUDE, PLACES_SQL, RECORDS_SQL, places, records, table
+from ..sources import schemas
+from .fixtures import CANONICAL_SQL, DECIDED_SQL, JARO_SQL, LATITUDE, PLACES_SQL, RECORDS_SQL, cell_sql, places, records, resolved_sql, table
 
 BOX = Box(76.5, 43.0, 77.5, 43.5)
 GRID = MetricGrid(resolve.BLOCK_M, LATITUDE)
@@ -94,10 +96,14 @@ def match_decisions(spark, d):
     return _decided(spark, d).select(F.col("a.source_record_id").alias("a"), F.col("b.source_record_id").alias("b"), "method", "score", F.round("sim", 6).alias("sim"))
 
 
+def match_names(spark, d):
+    """The rules under the similarity of names, from the joins that resolution uses."""
+    told = resolve.decide(resolve.near_pairs(records(spark, d), GRID))
+    return told.select(F.col("a.source_record_id").alias("a"), F.col("b.source_record_id").alias("b"), "method", F.round("score", 9).alias("score"), F.round("sim", 9).alias("sim"))
+
+
 def review_pairs(spark, d):
-    """No pair of these records is in the grey zone under token sets; the same select over the weaker rules gives rows."""
-    weak = _decided(spark, d).where("method IN ('rule:name_close', 'rule:domain')").withColumn("match", F.lit(False))
-    return resolve.review_pairs(weak).select("a_source", "a_rec", "b_source", "b_rec", "score")
+    return resolve.review_pairs(_decided(spark, d)).select("a_source", "a_rec", "b_source", "b_rec", "score")
 
 
 def resolve_entities(spark, d):
@@ -112,6 +118,14 @@ def canonical_places(spark, d):
     return resolve.resolve(records(spark, d), LATITUDE)["entities"].select("entity", "name", "lat", "lon", "category_id", "phone_e164", "domain", "operating_status", "confidence", "source_count")
 
 
+def ingest_places(spark, d):
+    """Records of both sources from validation to places: resolved, with stable ids from an old lineage, cells and the dates of the load."""
+    valid = validation.kept(_checked(spark, d)).drop("n")
+    rows, _ = ingest.places_of(resolve.resolve(valid, LATITUDE), _lineage(spark, d), "KZ")
+    new = ingest.loaded(schemas.empty(spark, "place"), rows, F.lit("2024-03-01").cast("date"))
+    return new.select("place_id", "name", "lat", "lon", "cell", "category_id", "phone", "operating_status", "confidence", "source_count", "country_iso2", "first_seen", "closed_detected_at")
+
+
 def canonical_by_name(spark, d):
     """Canonical records where the entity is the name and category: the merge rules alone, which SQL can say too."""
     members = records(spark, d).withColumn("entity", F.concat_ws("|", "core_name", "category_id"))
@@ -121,7 +135,7 @@ def canonical_by_name(spark, d):
 def _checked(spark, d):
     k = F.col("source_record_id")
     n = F.substring(k, 2, 20).cast("long")
-    rows = records(spark, d).withColumn("n", n).where("source_id = 'osm'")
+    rows = records(spark, d).withColumn("n", n)
     rows = rows.withColumn("lat", F.when(n % 41 == 0, None).when(n % 41 == 1, 0.0).when(n % 41 == 2, 95.0).when(n % 41 == 3, 48.85).otherwise(F.col("lat"))).withColumn("lon", F.when(n % 41 == 1, 0.0).when(n % 41 == 3, 2.35).otherwise(F.col("lon")))
     rows = rows.withColumn("name", F.when(n % 37 == 0, F.lit("  ")).otherwise(F.col("name"))).withColumn("category_id", F.when(n % 31 == 0, None).when(n % 31 == 1, F.lit("no.such")).when(n % 31 == 2, F.lit("transport.bus_stop")).otherwise(F.col("category_id")))
     return validation.validate(rows, BOX)
@@ -234,8 +248,8 @@ _P, _R, _D = f"WITH {PLACES_SQL}", f"WITH {RECORDS_SQL}", f"WITH {DECIDED_SQL}"
 _VERSIONS = "v AS (SELECT event_id AS id, 's' || (user_id % 5) AS source_id, 'c' || (user_id % 3) AS country, strftime(ts, '%Y-%m-%d') AS source_version, CASE event_type WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'staged' WHEN 'purchase' THEN 'superseded' ELSE 'active' END AS status, ts AS ingested_at, event_id AS row_count FROM events)"
 _JOBS = "j AS (SELECT event_id AS id, 'C' || (event_id % 40) AS iso2, CASE WHEN event_id % 4 = 3 THEN 'resolve' ELSE 'source' END AS kind, CASE event_type WHEN 'error' THEN 'FAILED' WHEN 'signup' THEN 'PROCESSING' WHEN 'click' THEN 'LOADED' ELSE 'PENDING' END AS status, user_id % 5 AS attempts, ts AS locked_at FROM events)"
 _COVER = f"{_P}, {_JOBS}, js AS (SELECT iso2, CASE WHEN count(*) FILTER (status = 'FAILED') > 0 THEN 'FAILED' WHEN count(*) FILTER (status = 'PROCESSING') > 0 THEN 'PROCESSING' WHEN count(*) FILTER (status = 'PENDING') > 0 THEN 'PENDING' ELSE 'LOADED' END AS st FROM j GROUP BY iso2), ps AS (SELECT 'C' || (place_id % 60) AS iso2, count(*) AS n FROM places GROUP BY 1), cv AS (SELECT c.iso2, name, coalesce(st, 'NOT_QUEUED') AS status, coalesce(n, 0) AS places FROM (SELECT 'C' || (n_nationkey * 2) AS iso2, n_name AS name FROM nation) c LEFT JOIN js USING (iso2) LEFT JOIN ps USING (iso2))"
-_CHECKED = f"""{_R}, c0 AS (SELECT *, CAST(substr(source_record_id, 2) AS BIGINT) AS n FROM records WHERE source_id = 'osm'),
-c1 AS (SELECT source_record_id, n, source_confidence, operating_status, CASE n % 41 WHEN 0 THEN NULL WHEN 1 THEN 0.0e0 WHEN 2 THEN 95.0e0 WHEN 3 THEN 48.85e0 ELSE lat END AS lat, CASE n % 41 WHEN 1 THEN 0.0e0 WHEN 3 THEN 2.35e0 ELSE lon END AS lon, CASE WHEN n % 37 = 0 THEN '  ' ELSE name END AS name, CASE n % 31 WHEN 0 THEN NULL WHEN 1 THEN 'no.such' WHEN 2 THEN 'transport.bus_stop' ELSE category_id END AS category_id FROM c0),
+_CHECKED = f"""{_R}, c0 AS (SELECT *, CAST(substr(source_record_id, 2) AS BIGINT) AS n FROM records),
+c1 AS (SELECT * REPLACE (CASE n % 41 WHEN 0 THEN NULL WHEN 1 THEN 0.0e0 WHEN 2 THEN 95.0e0 WHEN 3 THEN 48.85e0 ELSE lat END AS lat, CASE n % 41 WHEN 1 THEN 0.0e0 WHEN 3 THEN 2.35e0 ELSE lon END AS lon, CASE WHEN n % 37 = 0 THEN '  ' ELSE name END AS name, CASE n % 31 WHEN 0 THEN NULL WHEN 1 THEN 'no.such' WHEN 2 THEN 'transport.bus_stop' ELSE category_id END AS category_id) FROM c0),
 c2 AS (SELECT *, CASE WHEN lat IS NULL OR lon IS NULL THEN ['missing_coordinates'] WHEN NOT (lat BETWEEN -90 AND 90 AND lon BETWEEN -180 AND 180) THEN ['out_of_range'] WHEN abs(lat) < 1e-6 AND abs(lon) < 1e-6 THEN ['null_island'] ELSE list_filter([CASE WHEN NOT (lon BETWEEN 76.45e0 AND 77.55e0 AND lat BETWEEN 42.95e0 AND 43.55e0) THEN 'outside_bbox' END, CASE WHEN trim(name) = '' AND NOT coalesce(starts_with(category_id, 'transport.'), false) THEN 'empty_name' END, CASE WHEN category_id IS NULL THEN 'no_category' WHEN category_id = 'no.such' THEN 'unknown_category' END, CASE WHEN source_confidence < 0.3 THEN 'low_confidence' END, CASE WHEN operating_status = 'closed' THEN 'closed' END], lambda x: x IS NOT NULL) END AS issues FROM c1),
 c3 AS (SELECT *, list_has_any(issues, ['missing_coordinates', 'out_of_range', 'null_island', 'outside_bbox', 'empty_name', 'unknown_category']) AS dropped FROM c2), c4 AS (SELECT *, NOT dropped AND list_has_any(issues, ['low_confidence', 'closed']) AS warned FROM c3)"""
 _LOADS = f"""{_P}, hp AS (SELECT place_id, name, category_id, operating_status, cell FROM places),
@@ -243,6 +257,14 @@ old AS (SELECT *, md5(concat_ws('|', name, category_id, operating_status, CAST(c
 n0 AS (SELECT place_id, CASE WHEN place_id % 6 = 0 THEN name || ' new' ELSE name END AS name, category_id, operating_status, CASE WHEN place_id % 15 = 0 THEN cell + 1 ELSE cell END AS cell FROM hp WHERE place_id % 10 <> 8), new AS (SELECT *, md5(concat_ws('|', name, category_id, operating_status, CAST(cell AS VARCHAR))) AS h FROM n0)"""
 _LINEAGE = f"{_R}, ln AS (SELECT source_id, source_record_id, 'p-' || core_name AS place_id, 1 AS dataset_version FROM records WHERE length(source_record_id) % 2 = 0 UNION ALL SELECT source_id, source_record_id, 'p-' || phone_e164, 2 FROM records WHERE phone_e164 IS NOT NULL), ll AS (SELECT * FROM ln QUALIFY row_number() OVER (PARTITION BY source_id, source_record_id ORDER BY dataset_version DESC, place_id) = 1)"
 
+_UUID = "substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' || substr('89ab89ab89ab89ab', strpos('0123456789abcdef', substr(h, 17, 1)), 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)"
+_IDS = f"""mb AS (SELECT *, source_id || chr(1) || source_record_id AS key FROM members), sz AS (SELECT entity, count(DISTINCT source_id) AS sources, min(key) AS k FROM mb GROUP BY entity),
+vt AS (SELECT entity, place_id, count(*) AS votes, min(key) AS fst FROM mb JOIN ll USING (source_id, source_record_id) GROUP BY ALL), md AS (SELECT entity, place_id FROM vt QUALIFY row_number() OVER (PARTITION BY entity ORDER BY votes DESC, fst) = 1), cl AS (SELECT entity, place_id FROM md JOIN sz USING (entity) QUALIFY row_number() OVER (PARTITION BY place_id ORDER BY sources DESC, k, entity) = 1),
+hs AS (SELECT sz.entity, cl.place_id, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(replace(k, chr(1), ':') || ':' || sz.entity)) AS h FROM sz LEFT JOIN cl USING (entity)),
+ids AS (SELECT entity, coalesce(place_id, {_UUID}) AS place_id FROM hs)"""
+_INGESTED = f"""{_CHECKED.removeprefix("WITH")}, {_LINEAGE.partition("ln AS")[2].join(["ln AS", ""])}, valid AS (SELECT * REPLACE (CASE WHEN warned THEN round_even(source_confidence * 0.8e0, 3) ELSE source_confidence END AS source_confidence) FROM c4 WHERE NOT dropped), {resolved_sql("valid")},{CANONICAL_SQL}, {_IDS},
+{cell_sql("(SELECT * FROM entities JOIN ids USING (entity))", "placed")}"""
+
 
 def _phone_sql() -> str:
     out = "CASE WHEN digits = '' THEN NULL WHEN starts_with(raw, '+') OR starts_with(raw, '00') THEN CASE WHEN length(f) BETWEEN 8 AND 15 THEN '+' || f END"
@@ -276,7 +298,13 @@ ORACLES = {
     "tag_map": f"WITH m(k, v) AS (VALUES {_values(inverted(TAG_CATEGORIES))}), r AS (SELECT p_partkey, {_list([*_TAGS, 'shop=hairdresser', 'office=it'])}[p_partkey % {len(_TAGS) + 2} + 1] AS tag, p_partkey % 2 = 0 AS male, p_partkey % 7 = 0 AS coffee, p_partkey % 3 <> 0 AS named FROM part), c AS (SELECT *, CASE WHEN tag = 'amenity=cafe' AND coffee THEN 'food.cafe.coffee_shop' WHEN tag = 'shop=hairdresser' AND male THEN 'beauty.barber' WHEN tag = 'shop=hairdresser' THEN 'beauty.salon' ELSE v END AS category_id FROM r LEFT JOIN m ON m.k = tag) SELECT p_partkey, category_id, tag, (category_id IS NOT NULL AND (named OR starts_with(category_id, 'transport.') OR starts_with(category_id, 'finance.atm'))) OR (named AND split_part(tag, '=', 1) IN ('amenity', 'shop', 'leisure', 'tourism', 'office', 'healthcare', 'craft')) AS poi FROM c",
     "grid_block_pairs": f"{_D} SELECT arec AS a, brec AS b FROM pr",
     "match_decisions": f"{_D} SELECT arec AS a, brec AS b, method, CASE method WHEN 'rule:same_source_duplicate' THEN 0.85e0 WHEN 'rule:phone' THEN 0.95e0 WHEN 'rule:name_near' THEN 0.8e0 WHEN 'review:grey_zone' THEN round_even(sim, 3) ELSE 0.9e0 END AS score, round(sim, 6) AS sim FROM decided WHERE method IS NOT NULL",
-    "review_pairs": f"{_D} SELECT asrc AS a_source, arec AS a_rec, bsrc AS b_source, brec AS b_rec, 0.9e0 AS score FROM decided WHERE method IN ('rule:name_close', 'rule:domain')",
+    "review_pairs": f"{_D} SELECT asrc AS a_source, arec AS a_rec, bsrc AS b_source, brec AS b_rec, round_even(sim, 3) AS score FROM decided WHERE method = 'review:grey_zone'",
+    "jaro_winkler_pairs": f"WITH RECURSIVE q AS (SELECT x.p_partkey AS k, lower(x.p_name) AS a, lower(y.p_name) AS b FROM part x JOIN part y ON y.p_partkey = x.p_partkey + 1), names AS (SELECT DISTINCT a, b FROM q),{JARO_SQL} SELECT k, round(sim, 9) AS sim FROM q JOIN winkler USING (a, b)",
+    "match_names": f"WITH RECURSIVE {RECORDS_SQL}, {resolved_sql()} SELECT arec AS a, brec AS b, method, round(score, 9) AS score, round(sim, 9) AS sim FROM told",
+    "resolve_entities": f"WITH RECURSIVE {RECORDS_SQL}, {resolved_sql()} SELECT source_id, source_record_id, entity, score, method FROM members",
+    "resolve_stats": f"WITH RECURSIVE {RECORDS_SQL}, {resolved_sql()} SELECT (SELECT count(*) FROM members) AS records, (SELECT count(DISTINCT entity) FROM members) AS entities, (SELECT count(*) FROM pr) AS pairs_compared, (SELECT count(*) FROM done WHERE ok) AS merges, (SELECT count(*) FROM done WHERE NOT ok) AS merges_blocked, (SELECT count(*) FROM told WHERE method = 'review:grey_zone') AS review_pairs",
+    "canonical_places": f"WITH RECURSIVE {RECORDS_SQL}, {resolved_sql()},{CANONICAL_SQL} SELECT * FROM entities",
+    "ingest_places": f"WITH RECURSIVE {_INGESTED} SELECT place_id, name, lat, lon, cell, category_id, phone_e164 AS phone, operating_status, confidence, source_count, 'KZ' AS country_iso2, DATE '2024-03-01' AS first_seen, CASE WHEN operating_status = 'closed' THEN DATE '2024-03-01' END AS closed_detected_at FROM placed",
     "canonical_by_name": f"""{_R}, m AS (SELECT *, core_name || '|' || category_id AS entity, CASE source_id WHEN 'osm' THEN 10 ELSE 20 END AS pr, -(CASE WHEN name <> '' THEN 1 ELSE 0 END + CASE WHEN phone_e164 IS NULL THEN 0 ELSE 1 END + 1) AS filled FROM records),
 o AS (SELECT *, row_number() OVER (PARTITION BY entity ORDER BY pr, filled, source_id, source_record_id) AS n FROM m)
 SELECT entity, min_by(name, n) AS name, min_by(lat, n) AS lat, any_value(category_id) AS category_id, min_by(phone_e164, n) FILTER (phone_e164 IS NOT NULL) AS phone_e164, min_by(domain, n) FILTER (domain IS NOT NULL) AS domain, CASE WHEN bool_and(operating_status = 'closed') THEN 'closed' ELSE min_by(operating_status, n) END AS operating_status,
@@ -302,4 +330,4 @@ SELECT entity, coalesce(place_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '
     "countries_by_status": f"{_COVER} SELECT status, count(*) AS countries FROM cv GROUP BY status",
 }
 
-QUERIES = {n: globals()[n] for n in [*ORACLES, "name_norm_nfkc", "jaro_winkler_pairs", "resolve_entities", "resolve_stats", "canonical_places"]}
+QUERIES = {n: globals()[n] for n in [*ORACLES, "name_norm_nfkc"]}
