@@ -38,7 +38,9 @@ WEIGHTS: dict[str, dict[str, int]] = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3"
 def source_family(families: int = 4) -> Column:
     """The domain of a source: its number modulo ``families``; sources without a number make one more."""
     number = F.regexp_extract(F.coalesce(F.col("source").cast("string"), F.lit("")), "([0-9]+)", 1)
-    return F.when(number == "", F.lit("d")).otherwise(F.concat(F.lit("d"), (F.substring(number, -4, 4).cast("int") % families).cast("string")))
+    # digit by digit, so that a number of any length has its own remainder
+    rest = F.aggregate(F.regexp_extract_all(number, F.lit("[0-9]"), 0), F.lit(0), lambda a, x: (a * 10 + x.cast("int")) % families)
+    return F.when(number == "", F.lit("d")).otherwise(F.concat(F.lit("d"), rest.cast("string")))
 
 
 def tokens() -> Column:
@@ -170,7 +172,7 @@ def _same(a: str, b: str, keys) -> str:
 
 
 ORACLE = rf"""
-WITH slim AS (SELECT * FROM (SELECT doc_id, CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)', 1) = '' THEN 'd' ELSE 'd' || (right(regexp_extract(source, '([0-9]+)', 1), 4)::INT % 4) END AS domain, lang, source,
+WITH slim AS (SELECT * FROM (SELECT doc_id, CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)', 1) = '' THEN 'd' ELSE 'd' || list_reduce(list_prepend(0, list_transform(regexp_extract_all(regexp_extract(source, '([0-9]+)', 1), '[0-9]'), lambda x: x::INT)), lambda a, x: (a * 10 + x) % 4) END AS domain, lang, source,
   len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS n_tokens, text FROM documents) WHERE n_tokens > 0),
 leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS n_tokens FROM slim GROUP BY ALL),
 {_dealt("d", [], "domain", "SELECT domain, sum(n_tokens) * 4 AS cap, (SELECT sum(n_tokens) FROM leaves) AS budget FROM leaves GROUP BY domain").lstrip()},

@@ -144,7 +144,7 @@ def anchors(p: Piece, at: np.ndarray, window: int = WINDOW, rounds: int = ROUNDS
     low, high = np.maximum(start - 1, 0), np.minimum(end + 1, n)
     offer(name, start, end, low, high, apart)
     for r in range(rounds):
-        left = (mix(name + _U(2 * r + 1) * _U(0x9FB21C651E98DF25)) >> _U(63)).astype(bool)
+        left = (mix(name + _U((2 * r + 1) * 0x9FB21C651E98DF25 & 0xFFFFFFFFFFFFFFFF)) >> _U(63)).astype(bool)
         pair = np.flatnonzero(left[:-1] & ~left[1:] & ~apart[:-1] & ~apart[1:])
         # a symbol that stays does so because of the neighbour it might have joined
         new_low, new_high = low.copy(), high.copy()

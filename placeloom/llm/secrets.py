@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pandas as pd
 import pyarrow as pa
@@ -59,9 +61,15 @@ def find(text: str) -> list[tuple[int, int, int, str]]:
     out = [(m.start(), m.end(), 0, m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     out += [(m.start(), m.end(), 1, m[0]) for m in ACCESS.finditer(text) if m.end() - m.start() >= 16]
     out += [(m.start(), m.end(), 2, m[0]) for m in HEX.finditer(text)]
-    taken = [(a, b) for a, b, _, _ in out]
-    out += [(m.start(), m.end(), 3, m[0]) for m in WEAK.finditer(text) if looks_live(m[0]) and not any(a < m.end() and m.start() < b for a, b in taken)]
-    return sorted(out)
+    out.sort()
+    ends = list(accumulate((b for _, b, _, _ in out), max))
+    weak = []
+    for m in WEAK.finditer(text):
+        # of the base spans that start before its end, the farthest end is beyond its start: one overlaps it
+        i = bisect_left(out, (m.end(),))
+        if not (i and ends[i - 1] > m.start()) and looks_live(m[0]):
+            weak.append((m.start(), m.end(), 3, m[0]))
+    return sorted(out + weak)
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -148,7 +156,8 @@ def redact(docs: DataFrame, mark: str = "[secret]", max_repos: int = MAX_REPOS,
     def cut(text: pd.Series, cuts: pd.Series) -> pd.Series:
         return pd.Series([_redacted(t, c, mark) if t is not None and c is not None and len(c) else t for t, c in zip(text, cuts)], dtype=object)
 
-    out = docs.withColumn("__fp1", F.xxhash64(F.col("text").cast("string"))).join(by_text, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__fp1") == F.col("__fp")), "left")
+    keys = docs.withColumn("__fp1", F.xxhash64(F.col("text").cast("string")))
+    out = keys.join(by_text, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__fp1") == F.col("__fp")), "left")
     out = out.withColumn("__cut", cut("text", "__cuts"))
     changed = F.col("__cuts").isNotNull()
     new = {"text": F.col("__cut")}

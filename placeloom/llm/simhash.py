@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from . import scratch
 from .texts import as_bytes, map_slices
 
@@ -179,41 +180,6 @@ def links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFr
     return spread.mapInPandas(compare, "u long, v long")
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for the nodes of ``edges`` (u, v): rounds of large-star and small-star, until the stars are stable.
-
-    Nodes compare by their value. Each round is written out, so lineage stays short and a lost executor costs one round.
-    """
-
-    def least(e: DataFrame) -> DataFrame:
-        return e.groupBy("u").agg(F.min("v").alias("m"))
-
-    def tally(e: DataFrame):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    current = scratch.table(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = tally(current)
-    if not before[0]:
-        return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    for _ in range(most_rounds):
-        # large star: all larger neighbours of a node move to its least neighbour (itself included)
-        both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = scratch.table(least(both).select(F.col("u").alias("at"), F.least("u", "m").alias("m")), "least")
-        large = both.join(low, F.col("u") == F.col("at")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = scratch.table(large, "large")
-        # small star: a node and its smaller neighbours move to the least of them
-        low = scratch.table(least(large).select(F.col("u").alias("at"), "m"), "least")
-        small = large.join(low, F.col("u") == F.col("at")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(low.select(F.col("at").alias("u"), F.col("m").alias("v"))).distinct()
-        current = scratch.table(small, "edges")
-        after = tally(current)
-        if after == before:
-            break
-        before = after
-    else:
-        raise RuntimeError("components did not settle")
-    return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
-
-
 def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, fp, component_id): each row's fingerprint and the least id it is linked with, in any number of steps."""
     prints = scratch.table(fingerprints(docs, shingle), "fingerprints")

@@ -71,3 +71,9 @@ def test_prefixes_and_columns(spark):
     assert 0 < sum(x.copies * len(x.text.split()) for x in rows) < 500 + 30 * 80
     everything = m.mixed(df, total=F.col("supply") * 100)
     assert {x.copies for x in everything.collect()} == {m.MAX_EPOCHS}
+
+
+def test_families_of_long_numbers(spark):
+    names = ["src10001", "src7", "web", None, "a" + "9" * 60, "x0012"]
+    got = [r.d for r in spark.createDataFrame([(i, n) for i, n in enumerate(names)], "i int, source string").select("i", m.source_family(3).alias("d")).orderBy("i").collect()]
+    assert got == [f"d{int(x) % 3}" if x else "d" for x in ("10001", "7", "", "", "9" * 60, "0012")]
