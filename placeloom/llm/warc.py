@@ -48,22 +48,27 @@ _STEPS = (
 _LINES = ((r"[\x20\x{00A0}]*\n[\x20\n]*", "\n"), (r"\x20{2,}", " "), (r"^[\x20\n]+|[\x20\n]+$", ""))
 
 
+def _once(value: Column, f) -> Column:
+    """``f`` of a value that is computed a single time, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def decoded(text: Column) -> Column:
     """Entities replaced by their characters, each once: the text is cut at every ``&`` and each piece begins with one or doesn't."""
     table = F.create_map(*(F.lit(x) for kv in ENTITIES.items() for x in kv))
 
+    def numbered(name: Column) -> Column:
+        code = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7)).try_cast("int")
+        valid = lambda c: c.between(0x20, 0x10FFFF) & ~c.between(0xD800, 0xDFFF) & ~c.between(0x7F, 0x9F)
+        return _once(code, lambda c: F.when(valid(c), F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32")))
+
     def one(piece: Column) -> Column:
-        name = F.regexp_extract(piece, _ENTITY, 1)
-        hexadecimal = F.lower(F.substring(name, 2, 1)) == "x"
-        code = F.when(hexadecimal, F.conv(F.substring(name, 3, 6), 16, 10)).otherwise(F.substring(name, 2, 7)).try_cast("int")
-        valid = code.between(0x20, 0x10FFFF) & ~code.between(0xD800, 0xDFFF) & ~code.between(0x7F, 0x9F)
-        char = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        to = F.when(name.startswith("#"), char).otherwise(F.try_element_at(table, name))
-        return F.when(to.isNotNull(), F.concat(to, F.substr(piece, F.length(name) + 2))).otherwise(F.concat(F.lit("&"), piece))
-
-    pieces = F.split(text, "&", -1)
-    whole = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), one), ""))
-    return F.when(F.contains(text, F.lit("&")), whole).otherwise(text)
+        char = lambda name: F.when(name == "", F.lit(None)).when(name.startswith("#"), numbered(name)).otherwise(F.try_element_at(table, name))
+        swap = lambda name: _once(char(name), lambda c: F.when(c.isNull(), F.concat(F.lit("&"), piece)).otherwise(F.concat(c, F.substr(piece, F.length(name) + 2))))
+        return _once(F.regexp_extract(piece, _ENTITY, 1), swap)
+
+    joined = lambda pieces: F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), one), ""))
+    return _once(text, lambda t: F.when(F.contains(t, F.lit("&")), _once(F.split(t, "&", -1), joined)).otherwise(t))
 
 
 def plain_text(html: Column) -> Column:
