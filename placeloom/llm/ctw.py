@@ -12,7 +12,8 @@ The tree grows with the corpus and is never broadcast. Documents are dealt into
 (context, byte) pairs and words, with their counts, to shards by a hash of the last ``NEAR`` bytes of context and of the word. A
 shard holds whole subtrees: it weighs all depths from ``NEAR`` on. Only sums per node of the depth above leave it, 65,536 at most, from which the
 driver weighs the root's few levels. Each shard then answers every block with an array of code lengths and counts in the order that it
-asked in, so no key is sent back. Messages are one packed row for a block and shard. Held-out texts ask but never count.
+asked in, so no key is sent back. Messages are one packed row for a block and shard; there are half as many shards as blocks, 32 to 1,024,
+so rows stay in proportion to the blocks, and beyond 2,048 blocks (24 GB of text) a shard's messages grow with them. Held-out texts ask but never count.
 
 The base score is a unigram model of words with 0.1 added to each count, learned from the same texts.
 
@@ -33,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import blocks, scratch
+from . import blocks, exchange, scratch
 from .texts import as_bytes, pack, unpack
 
 DEPTH = 5
@@ -411,7 +412,7 @@ def score(docs: DataFrame, depth: int = DEPTH, block_bytes: int = blocks.BLOCK_B
     """One row per document: base and model scores, and the model's code length in bits per byte, end included."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("held_out", held_out())
     dealt = blocks.deal(rows, "ctw", block_bytes)
-    shards = dealt.select("block").distinct().count() or 1
+    shards = min(exchange.shards(dealt.select("block").distinct().count()), exchange.RADIX)
     asked = scratch.table(dealt.groupBy("block").applyInArrow(lambda part: ask(part, depth, shards), ASKED), "asked")
     end_count = dealt.where("NOT held_out").count()
 
