@@ -1,13 +1,14 @@
 """SimHash near-duplicates with bit-sliced comparison.
 
 Every distinct fingerprint is compared with all that could be near. With radius r the 64 bits are cut into
-r + 1 bands, and two fingerprints within r bits agree on one band at least, so rows meet per band value: an exact
-candidate rule. A task holds its rows sorted by band value, 64 rows to a block, and keeps them vertically: one
+m > r bands, and two fingerprints within r bits agree on m - r bands at least, so rows meet per choice of m - r bands and their value: an exact
+candidate rule for any m. More bands make more tables of longer keys: 4 of 16 bits, 10 of 25 or 20 of 32. There are so many bands
+that a key's rows don't grow with the corpus; their number changes no result. A task holds its rows sorted by band value, 64 rows to a block, and keeps them vertically: one
 word per bit plane. All distances between a fingerprint and a block's 64 rows are counted together by
 carry-save adders on two count planes, a third plane marking the lanes that passed the radius; a block is
 abandoned as soon as all its lanes have.
 
-Only a spanning forest of the links leaves a task, never all pairs of a group. A band value with more than
+Only a spanning forest of the links leaves a task, never all pairs of a group. A key with more than
 ``CHUNK`` distinct fingerprints is dealt out as pairs of chunks, so no task holds an unbounded group and no
 link is lost. Components then form by rounds of star contraction on the small graph of linked fingerprints, written
 out between rounds; documents get theirs by their fingerprint.
@@ -18,11 +19,13 @@ never names a component unless all ids in it are null; repeated rows keep a row
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.components import components
@@ -149,14 +152,32 @@ def forest(values: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return values[linked], values[root[linked]]
 
 
-def links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) -> DataFrame:
-    """(u, v): a forest that spans the links among the distinct ``fp`` of ``prints``, band by band."""
-    width = 64 // (radius + 1)
-    band = F.explode(F.array(*(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("fp", i * width).bitwiseAND(F.lit((1 << width) - 1)).alias("part")) for i in range(radius + 1)))).alias("b")
-    rows = prints.select("fp", band).select("fp", (F.col("b.band") * (1 << width) + F.col("b.part")).alias("part"))
+def bands(n: int, radius: int = RADIUS, chunk: int = CHUNK) -> int:
+    """The fewest bands, up to three more than the radius, with which ``n`` fingerprints make about a chunk a key, were they spread evenly."""
+    return next((m for m in (radius + 1, radius + 2) if n <= chunk << (64 * (m - radius) // m)), radius + 3)
+
+
+def keys(m: int, radius: int = RADIUS) -> list[Column]:
+    """A key of each table: its number, then the bits of the bands that agree."""
+    edges = [64 * i // m for i in range(m + 1)]
+    out = []
+    for i, chosen in enumerate(combinations(range(m), m - radius)):
+        key = F.lit(i).cast("long")
+        for band in chosen:
+            width = edges[band + 1] - edges[band]
+            key = F.shiftleft(key, width) + F.shiftrightunsigned("fp", edges[band]).bitwiseAND(F.lit((1 << width) - 1))
+        out.append(key)
+    return out
+
+
+def links(prints: DataFrame, radius: int = RADIUS, chunk: int = CHUNK, m: int | None = None) -> DataFrame:
+    """(u, v): a forest that spans the links among the distinct ``fp`` of ``prints``, table by table; ``m`` bands, by default as many as the rows need."""
+    m = bands(prints.count(), radius) if m is None else m
+    rows = prints.select("fp", F.explode(F.array(*keys(m, radius))).alias("part"))
     large = scratch.table(rows.groupBy("part").count().where(F.col("count") > chunk).select("part", F.ceil(F.col("count") / chunk).cast("int").alias("chunks")), "bands")
-    # there are (radius + 1) << width band values at most, so the large ones may be broadcast
-    dealt = rows.join(F.broadcast(large), "part", "left").withColumn("mine", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")).otherwise(0))
+    # with the fewest bands there are (radius + 1) << 16 keys at most, so the large ones may be broadcast
+    large = F.broadcast(large) if m == radius + 1 else large
+    dealt = rows.join(large, "part", "left").withColumn("mine", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")).otherwise(0))
     other = F.explode(F.when(F.col("chunks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("chunks") - 1))).alias("other")
     dealt = dealt.select("fp", "part", "mine", other).select("fp", "part", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
     group = F.xxhash64("part", "a", "b").alias("task")

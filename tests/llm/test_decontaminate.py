@@ -127,3 +127,10 @@ def test_empty_tables(spark):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert d.report(docs, bench).count() == 0
     assert d.report(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), bench).first().n_words == 2
+
+
+def test_a_very_long_text(spark):
+    words = [f"u{i % 5000}" for i in range(600_000)]
+    docs = [(1, " ".join(words)), (2, "u1 u2")]
+    got = {r.doc_id: r for r in d.report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(words[100:200])), (8, "u2 u1")], "item_id long, text string")).collect()}
+    assert (got[1].n_words, got[1].n_hit, got[1].n_items, got[1].longest_match) == (600_000, 120 * 100, 1, 100) and got[2].n_hit == 0

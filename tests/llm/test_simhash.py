@@ -85,3 +85,26 @@ def test_components_of_long_chains(spark):
     got = {x.node: x.root for x in s.components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(got.get(x, x) == min(ids[:150]) for x in ids[:150]) and all(got.get(x, x) == min(ids[150:250]) for x in ids[150:250])
     assert len(got) == 148 + 1 + 99
+
+
+def test_any_number_of_bands_links_the_same(spark):
+    r = random.Random(8)
+    prints = [r.getrandbits(64) for _ in range(60)]
+    for _ in range(140):
+        x = r.choice(prints)
+        for b in r.sample(range(64), r.randrange(5)):
+            x ^= 1 << b
+        prints.append(x)
+    prints = sorted({x - (1 << 64) if x >> 63 else x for x in prints})
+    want = plain_components([(p, p & (1 << 64) - 1) for p in prints])
+    df = spark.createDataFrame([(p,) for p in prints], "fp long")
+    for m, chunk in ((4, 1024), (5, 2), (6, 1024), (6, 2)):
+        root = {x.node: x.root for x in s.components(s.links(df, chunk=chunk, m=m)).collect()}
+        assert [root.get(p, p) for p in prints] == want
+    assert [s.bands(n) for n in (10, 1 << 26, (1 << 26) + 1, 1 << 35, (1 << 35) + 1, 10**13)] == [4, 4, 5, 5, 6, 6]
+
+
+def test_a_very_long_text(spark):
+    text = "one two three four five six seven " * 300_000
+    got = s.report(spark.createDataFrame([(2, text), (1, text.upper() + " eight"), (3, "else")], "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.component_id) for x in got) == [(1, 1), (2, 1), (3, 3)] and {x.fingerprint for x in got if x.doc_id == 2} == {f"{plain_fingerprint(text):016x}"}
