@@ -19,7 +19,7 @@ def places(spark: SparkSession, sf_dir: str, grid: HexGrid = GRID) -> DataFrame:
     """City places from ``orders``: (place_id, name, lat, lon, category_id, source_category, operating_status, confidence, cell)."""
     k = F.col("o_orderkey")
     kind = k % 12
-    dense = lambda n: F.when(k % 3 == 0, F.lit(n // 5)).otherwise(F.lit(n))  # noqa: E731 a third of all places are in a corner of the city
+    dense = lambda n: F.when(k % 7 == 0, F.lit(n // 5)).otherwise(F.lit(n))  # noqa: E731 a seventh of all places are in a corner of the city
     out = table(spark, sf_dir, "orders").select(
         k.alias("place_id"), F.concat(F.lit("place "), k).alias("name"), ((k * 7919) % dense(1250)).cast("double") / 10000.0 + 43.2, ((k * 104729) % dense(1800)).cast("double") / 10000.0 + 76.85,
         F.when(kind <= 1, F.lit("food.cafe.coffee_shop")).when(kind == 2, F.lit("food.cafe")).when(kind == 3, F.lit("education.university")).when(kind == 4, F.lit("transport.metro")).when(kind != 5, F.lit("retail.convenience")),
@@ -29,7 +29,7 @@ def places(spark: SparkSession, sf_dir: str, grid: HexGrid = GRID) -> DataFrame:
 
 
 PLACES_SQL = """
-raw AS (SELECT o_orderkey AS place_id, 'place ' || o_orderkey AS name, CAST((o_orderkey*7919) % (CASE WHEN o_orderkey % 3 = 0 THEN 250 ELSE 1250 END) AS DOUBLE)/10000.0e0 + 43.2e0 AS lat, CAST((o_orderkey*104729) % (CASE WHEN o_orderkey % 3 = 0 THEN 360 ELSE 1800 END) AS DOUBLE)/10000.0e0 + 76.85e0 AS lon,
+raw AS (SELECT o_orderkey AS place_id, 'place ' || o_orderkey AS name, CAST((o_orderkey*7919) % (CASE WHEN o_orderkey % 7 = 0 THEN 250 ELSE 1250 END) AS DOUBLE)/10000.0e0 + 43.2e0 AS lat, CAST((o_orderkey*104729) % (CASE WHEN o_orderkey % 7 = 0 THEN 360 ELSE 1800 END) AS DOUBLE)/10000.0e0 + 76.85e0 AS lon,
   CASE WHEN o_orderkey % 12 <= 1 THEN 'food.cafe.coffee_shop' WHEN o_orderkey % 12 = 2 THEN 'food.cafe' WHEN o_orderkey % 12 = 3 THEN 'education.university' WHEN o_orderkey % 12 = 4 THEN 'transport.metro' WHEN o_orderkey % 12 = 5 THEN NULL ELSE 'retail.convenience' END AS category_id,
   CASE WHEN o_orderkey % 12 = 5 THEN 'raw_' || (o_orderkey % 7) ELSE 'c' || (o_orderkey % 12) END AS source_category, CASE WHEN o_orderkey % 19 = 0 THEN 'closed' ELSE 'open' END AS operating_status, CAST(o_orderkey % 100 AS DOUBLE)/100.0e0 AS confidence
   FROM orders),
