@@ -84,8 +84,16 @@ def test_only_held_out(spark):
     assert ctw.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def test_beats_the_base_on_held_out_texts(spark):
-    got = ctw.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), depth=6).where("held_out").collect()
+def test_a_very_long_text(spark):
+    r = random.Random(3)
+    docs = [(1, " ".join(r.choice(["a", "bc", "É", "long"]) for _ in range(100_000))), (2, "a bc"), (None, None)]
+    assert len(docs[0][1].encode()) > ctw.CHUNK
+    check(spark, docs, depth=1)
+
+
+@pytest.mark.parametrize("depth", [ctw.DEPTH, 6])
+def test_beats_the_base_on_held_out_texts(spark, depth):
+    got = ctw.score(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), depth=depth).where("held_out").collect()
     assert len(got) > 50 and sum(r.score for r in got) > sum(r.base_score for r in got)
     assert np.median([r.bits_per_byte for r in got]) < 3.5
 
