@@ -102,3 +102,27 @@ def test_lookup():
     keys = np.unique(np.random.default_rng(0).integers(0, 1 << 60, 5000).astype(np.uint64))
     ask = np.random.default_rng(1).permutation(np.repeat(keys, 3))
     assert (ctw.Lookup(keys, keys.astype(float))(ask) == ask.astype(float)).all() and len(ctw.Lookup(keys[:0], np.zeros(0))(keys[:0])) == 0
+
+
+@pytest.mark.parametrize("radix", [2, 3])
+def test_relays_change_nothing(spark, monkeypatch, radix):
+    r = random.Random(4)
+    docs = [(None, None), (1, ""), (2, "a a")] + [(i, " ".join(r.choice(["the", "There", "Üb", "banana", "x" * 70, f"w{i}"]) for _ in range(r.randrange(30)))) for i in range(10, 60)]
+    monkeypatch.setattr(ctw.exchange, "RADIX", radix)
+    monkeypatch.setattr(ctw.exchange, "COHORT", 3)
+    monkeypatch.setattr(ctw.exchange, "shards", lambda n: radix * radix)
+    check(spark, docs, block_bytes=300)
+
+
+def test_relays_hold_as_much_whatever_the_corpus(monkeypatch):
+    for blocks in (3000, 100_000, 2_000_000):
+        n = ctw.exchange.shards(blocks)
+        groups = n // ctw.exchange.RADIX
+        assert ctw.exchange.cohort(n) / groups <= ctw.exchange.RELAY and -(-blocks // ctw.exchange.cohort(n)) * n <= 2 * blocks * ctw.exchange.RADIX // ctw.exchange.RELAY
+
+
+def test_words_that_share_one_hash():
+    one, two = np.array([5, 3, 5, 3, 5], np.uint64), np.array([1, 1, 2, 1, 1], np.uint64)
+    first, which = ctw._same(one, two)
+    assert [(int(one[i]), int(two[i])) for i in first] == [(3, 1), (5, 1), (5, 2)] and which.tolist() == [1, 0, 2, 0, 1]
+    assert ctw._same(one[:0], two[:0])[0].tolist() == []
